@@ -16,28 +16,54 @@ Rule = tuple[Column, Column]
 Record = dict[str, Column]
 
 FIELDS = C.REQUIRED_FIELDS + ("product_id", "price")
+VOCABULARY = {"event_type": C.EVENT_TYPES, "device": C.DEVICES, "country": C.COUNTRIES}
 
 
-def _kind(v: Column, field: str) -> Column:
+def json_kind(v: Column, field: str) -> Column:
     """JSON type name of a field: NULL if absent, VOID if an explicit null."""
     return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
 
 
-def unpack(v: Column) -> list[Column]:
+def _kind(v: Column, event: Column, field: str) -> Column:
+    """The JSON type of a field, looked up only where its value leaves it open.
+
+    A typed number can only come from a JSON number, and text that is in a
+    vocabulary or shaped like a time only from a JSON string.
+    """
+    value = event[field]
+    if field == "event_id":
+        return json_kind(v, field)
+    if field in VOCABULARY:
+        certain, kind = value.isin(*VOCABULARY[field]), "STRING"
+    elif field == "event_time":
+        certain, kind = value.rlike(C.TIMESTAMP_PATTERN), "STRING"
+    elif field == "price":
+        certain, kind = F.abs(value) < float("inf"), "NUMBER"
+    else:
+        certain, kind = value.isNotNull(), "BIGINT"
+    return F.when(certain, F.lit(kind)).otherwise(json_kind(v, field))
+
+
+TYPED = (
+    "event_id string, event_time string, user_id bigint, event_type string, "
+    "product_id bigint, price double, device string, country string"
+)
+
+
+def typed(payload: str) -> Column:
+    """The fields of the contract as a struct; a value of another type is NULL."""
+    return F.from_json(F.col(payload), TYPED)
+
+
+def unpack(payload: Column, v: Column, event: Column) -> list[Column]:
     """JSON kind and value of every field of the contract, as flat helper columns.
 
     They are flat, not one struct, so that the optimizer keeps them as computed
     columns instead of repeating the VARIANT lookups inside every check.
     """
-    parts = [F.schema_of_variant(v).alias(helper("root"))]
-    for field in FIELDS:
-        parts.append(_kind(v, field).alias(helper(f"{field}_kind")))
-    for field in ("event_id", "event_time", "event_type", "device", "country"):
-        parts.append(F.try_variant_get(v, f"$.{field}", "string").alias(helper(field)))
-    for field in ("user_id", "product_id"):
-        parts.append(F.try_variant_get(v, f"$.{field}", "bigint").alias(helper(field)))
-    parts.append(F.try_variant_get(v, "$.price", "double").alias(helper("price")))
-    return parts
+    kinds = [_kind(v, event, field).alias(helper(f"{field}_kind")) for field in FIELDS]
+    values = [event[field].alias(helper(field)) for field in FIELDS]
+    return [payload.rlike(r"^\s*\{").alias(helper("is_object")), *kinds, *values]
 
 
 def helper(name: str) -> str:
@@ -46,7 +72,7 @@ def helper(name: str) -> str:
 
 def unpacked() -> Record:
     """Handles on the helper columns that ``unpack`` adds."""
-    names = ["root", *FIELDS, *[f"{f}_kind" for f in FIELDS]]
+    names = ["is_object", *FIELDS, *[f"{f}_kind" for f in FIELDS]]
     return {name: F.col(helper(name)) for name in names}
 
 
@@ -68,7 +94,7 @@ def schema_reason(r: Record) -> Column:
         ",", *[F.when(r[f"{f}_kind"].isNull(), F.lit(f)) for f in C.REQUIRED_FIELDS]
     )
     return first_failure([
-        (~r["root"].startswith("OBJECT"), F.lit("record_is_not_dict")),
+        (~r["is_object"], F.lit("record_is_not_dict")),
         (absent != "", F.concat(F.lit("missing_fields:"), absent)),
     ])
 
@@ -88,18 +114,17 @@ def type_reason(r: Record) -> Column:
     rules += [
         (_has(r["product_id_kind"]) & _not(r["product_id_kind"], "BIGINT"),
          "product_id_not_integer"),
-        (_has(r["price_kind"]) & _not(r["price_kind"], "BIGINT|DECIMAL|DOUBLE|FLOAT"),
+        (_has(r["price_kind"]) & _not(r["price_kind"], "NUMBER|BIGINT|DECIMAL|DOUBLE|FLOAT"),
          "price_not_numeric"),
     ]
     return first_failure([(failing, F.lit(reason)) for failing, reason in rules])
 
 
 def enum_reason(r: Record) -> Column:
-    vocabulary = {"event_type": C.EVENT_TYPES, "device": C.DEVICES, "country": C.COUNTRIES}
-    shown = {f: F.coalesce(r[f], F.lit("")) for f in vocabulary}
+    shown = {f: F.coalesce(r[f], F.lit("")) for f in VOCABULARY}
     return first_failure([
         (~shown[f].isin(*allowed), F.concat(F.lit(f"invalid_{f}:"), shown[f]))
-        for f, allowed in vocabulary.items()
+        for f, allowed in VOCABULARY.items()
     ])
 
 
@@ -118,7 +143,7 @@ def number_text(kind: Column, number: Column) -> Column:
 def anomaly_reason(r: Record, now: Column, tolerance_seconds: int = 0) -> Column:
     """Range, clock and business-rule checks; a time without a zone counts as UTC."""
     price, user = r["price"], r["user_id"]
-    shown_price = number_text(r["price_kind"], price)
+    shown_price = number_text(json_kind(F.col("record"), "price"), price)
     limit = F.timestamp_seconds(F.unix_timestamp(now) + F.lit(tolerance_seconds)) \
         if tolerance_seconds else now
     buying = r["event_type"] == "purchase"
@@ -135,9 +160,11 @@ def anomaly_reason(r: Record, now: Column, tolerance_seconds: int = 0) -> Column
     ])
 
 
-def rejection_reason(r: Record, now: Column, tolerance_seconds: int = 0) -> Column:
-    """The first failing reason over all four families, NULL for a valid record."""
-    return F.coalesce(
-        schema_reason(r), type_reason(r), enum_reason(r),
-        anomaly_reason(r, now, tolerance_seconds),
-    )
+def shape_reason(r: Record) -> Column:
+    """Is it an object with all fields, each of the right JSON type?"""
+    return F.coalesce(schema_reason(r), type_reason(r))
+
+
+def content_reason(r: Record, now: Column, tolerance_seconds: int = 0) -> Column:
+    """Are the values of a well-shaped record allowed and plausible?"""
+    return F.coalesce(enum_reason(r), anomaly_reason(r, now, tolerance_seconds))

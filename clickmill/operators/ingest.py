@@ -27,19 +27,24 @@ def decode_payload(df: DataFrame, col: str = "data") -> DataFrame:
 
 
 def parse_payload(df: DataFrame, col: str = "payload") -> DataFrame:
-    """Add ``record`` as VARIANT; NULL where the text is not JSON."""
-    return df.withColumn("record", F.try_parse_json(col))
+    """Add ``record`` as VARIANT, NULL where the text is not JSON, and typed ``event``."""
+    return df.withColumns({"record": F.try_parse_json(col), "event": P.typed(col)})
 
 
-def _evaluate_once(df: DataFrame, reason: Column, name: str) -> DataFrame:
-    """Add a reason column that later filters read instead of repeating it.
+def _settle(reason: Column, name: str) -> Column:
+    """A computed column that later filters read instead of repeating.
 
     A filter on a plain computed column is pushed below it, which would copy all
     checks and their VARIANT lookups into the predicate. Predicates on the output
     of ``explode`` stay above it; the array has exactly one element.
     """
-    unpacked = df.select("*", *P.unpack(F.col("record")))
-    return unpacked.select(*df.columns, F.explode(F.array(reason)).alias(name))
+    return F.explode(F.array(reason)).alias(name)
+
+
+def _unpacked(df: DataFrame) -> DataFrame:
+    if "record" not in df.columns:
+        df = parse_payload(df)
+    return df.select("*", *P.unpack(F.col("payload"), F.col("record"), F.col("event")))
 
 
 def with_rejection_reason(
@@ -48,36 +53,37 @@ def with_rejection_reason(
     """Add ``rejection_reason``: the first failing check, NULL for valid records.
 
     Text that is not JSON gets its own reason, so it is never taken for valid.
+    Shape and content are two steps to keep each generated method small enough
+    for the JVM to compile.
     """
-    if "record" not in df.columns:
-        df = parse_payload(df)
-    r = P.unpacked()
-    reason = F.when(F.col("record").isNull(), F.lit(C.UNPARSEABLE)).otherwise(
-        P.rejection_reason(r, as_instant(now), tolerance_seconds)
+    r, unpacked = P.unpacked(), _unpacked(df)
+    carried = [c for c in unpacked.columns if not c.startswith(P.helper(""))]
+    shape = F.when(F.col("record").isNull(), F.lit(C.UNPARSEABLE)).otherwise(P.shape_reason(r))
+    content = P.content_reason(r, as_instant(now), tolerance_seconds)
+    shaped = unpacked.select("*", _settle(shape, "_shape"))
+    return shaped.select(
+        *carried, _settle(F.coalesce(F.col("_shape"), content), "rejection_reason")
     )
-    return _evaluate_once(df, reason, "rejection_reason")
 
 
 def check_family(df: DataFrame, family: str, now: datetime | str | Column) -> DataFrame:
     """Add ``reason`` from one family only: schema, type, enum or anomaly."""
-    if "record" not in df.columns:
-        df = parse_payload(df)
-    r = P.unpacked()
-    reason = {
-        "schema": lambda: P.schema_reason(r),
-        "type": lambda: P.type_reason(r),
-        "enum": lambda: P.enum_reason(r),
-        "anomaly": lambda: P.anomaly_reason(r, as_instant(now)),
-    }[family]()
-    return _evaluate_once(df, reason, "reason")
-
-
-def record_columns(record: str = "record") -> list[Column]:
-    """The typed event columns of a VARIANT record; mistyped values become NULL."""
-    kinds = {"user_id": "int", "product_id": "int", "price": "double"}
+    r, unpacked = P.unpacked(), _unpacked(df)
+    carried = [c for c in unpacked.columns if not c.startswith(P.helper(""))]
+    checks = {
+        "schema": lambda: P.schema_reason(r), "type": lambda: P.type_reason(r),
+        "enum": lambda: P.enum_reason(r), "anomaly": lambda: P.anomaly_reason(r, as_instant(now)),
+    }
+    return unpacked.select(*carried, _settle(checks[family](), "reason"))
+
+
+def event_columns() -> list[Column]:
+    """The typed event as table columns; ids beyond the integer range become NULL."""
     names = (*C.REQUIRED_FIELDS[:4], "product_id", "price", *C.REQUIRED_FIELDS[4:])
     return [
-        F.try_variant_get(F.col(record), f"$.{n}", kinds.get(n, "string")).alias(n) for n in names
+        F.col(f"event.{n}").try_cast("int").alias(n) if n in ("user_id", "product_id")
+        else F.col(f"event.{n}").alias(n)
+        for n in names
     ]
 
 
@@ -103,16 +109,17 @@ def route(checked: DataFrame, now: datetime | str | Column) -> Routes:
     persist ``checked`` first. Quarantined rows keep their raw payload.
     """
     reason = F.col("rejection_reason")
-    carried = [c for c in checked.columns if c not in ("record", "rejection_reason", "payload", "data")]
+    internal = ("record", "event", "rejection_reason", "payload", "data")
+    carried = [c for c in checked.columns if c not in internal]
     valid = enrich(
-        checked.filter(reason.isNull()).select(*carried, *record_columns()), now
+        checked.filter(reason.isNull()).select(*carried, *event_columns()), now
     )
     quarantined = (
         checked.filter(reason.isNotNull() & (reason != C.UNPARSEABLE))
-        .select(*carried, *record_columns(), "payload", "rejection_reason")
+        .select(*carried, *event_columns(), "payload", "rejection_reason")
         .withColumn("_quarantine_timestamp", iso_text(as_instant(now)))
     )
-    unparseable = checked.filter(reason == C.UNPARSEABLE).drop("record", "rejection_reason")
+    unparseable = checked.filter(reason == C.UNPARSEABLE).drop("record", "event", "rejection_reason")
     return Routes(valid, quarantined, unparseable)
 
 

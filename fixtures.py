@@ -322,7 +322,7 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("warehouse_name"),
         status.alias("execution_status"),
         F.when(F.col("o_orderpriority") != "5-LOW", "X-Small").alias("warehouse_size"),
-        (F.col("o_totalprice") / 100000).cast("decimal(18,6)").alias("credits_used"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("credits_used"),
     )
 
 
@@ -333,7 +333,7 @@ query_history AS (
          o_custkey * 1048576 AS bytes_scanned, o_custkey AS rows_produced, o_orderpriority AS warehouse_name,
          CASE o_orderstatus WHEN 'F' THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status,
          CASE WHEN o_orderpriority <> '5-LOW' THEN 'X-Small' END AS warehouse_size,
-         CAST(o_totalprice / 100000 AS DECIMAL(18,6)) AS credits_used
+         CAST(o_totalprice AS DECIMAL(18,2)) AS credits_used
   FROM orders)"""
 
 LAYERS = {
