@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.functions.rollup import pick_per_key
 from clickmill.operators.gold import BUY, CART, VIEW, is_type, money_in
 
 
-def most_frequent(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Modal non-null value per key, the smallest one on a tie."""
-    counted = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum("_n").alias("_n"))
-    top = pick_per_key(counted, [key], [F.desc("_n"), F.col(value)])
-    return top.select(key, F.col(value).alias(name))
-
-
 def dim_users(fact: DataFrame) -> DataFrame:
     """One row per user: activity span, usual device and country, totals."""
     return fact.groupBy("user_id").agg(

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.operators.silver import dedup
@@ -82,12 +80,11 @@ def change_feed(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return changed.select(*keys, F.inline(images)).select(*keys, "row.*", "_change_type")
 
 
-def touched_predicate(columns: tuple[str, ...], values: list[tuple]):
+def _partition_text(columns: tuple[str, ...]) -> Column:
+    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
+
+
+def touched_predicate(columns: tuple[str, ...], values: list[tuple]) -> Column:
     """Partition filter for a list of partition values, evaluated while listing files."""
-    if not values:
-        return F.lit(False)
-    tests = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row)])
-        for row in values
-    ]
-    return reduce(lambda a, b: a | b, tests)
+    wanted = ["/".join("NULL" if v is None else str(v) for v in row) for row in values]
+    return _partition_text(columns).isin(wanted)

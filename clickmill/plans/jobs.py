@@ -45,7 +45,7 @@ def run_gold(
         return False
     recent = table.filter(arrived > since - F.lit(overlap))
     cols = schemas.PARTITION_COLUMNS
-    touched = writers._partition_values(recent, cols)
+    touched = writers.partition_values(recent, cols)
     days = table.filter(merge.touched_predicate(cols, touched)).select(
         "event_time", "user_id", "event_type", "product_id", "price", "device"
     ).persist(StorageLevel.MEMORY_AND_DISK)
@@ -60,13 +60,30 @@ def run_gold(
 
 
 def recover_quarantine(
-    spark: SparkSession, quarantine: str, bronze: str, dead: str, now: datetime
+    spark: SparkSession, quarantine: str, bronze: str, dead: str, mark_path: str, now: datetime
 ) -> DataFrame:
-    """Repair what can be repaired back into bronze; the rest goes to the dead-letter table."""
-    rejected = spark.read.schema(schemas.QUARANTINE).json(quarantine).persist(StorageLevel.MEMORY_AND_DISK)
+    """Repair what can be repaired back into bronze; the rest goes to the dead-letter table.
+
+    Each run takes the rows quarantined since the mark, so a repeated run finds
+    nothing new. If a run stops before the mark moves, its dead letters are not
+    written again, and events that reach bronze twice are one event in silver.
+    """
+    mark = writers.read_hwm(spark, mark_path)
+    stamp = F.col("_quarantine_timestamp")
+    rejected = spark.read.schema(schemas.QUARANTINE).json(quarantine).filter(
+        stamp.isNull() | (stamp > mark)
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    newest = rejected.agg(F.max(stamp)).first()[0]
     fixed = quality.recovered(rejected).drop("_quarantine_timestamp")
     writers.append_ndjson(fixed.withColumn("_at", F.lit(str(now)).cast("timestamp")), bronze, "_at")
-    writers.append_table(quality.dead_letter(rejected, now), dead)
+    lost = quality.dead_letter(rejected, now)
+    if files.is_table(spark, dead):
+        known = readers.read_table(spark, dead).filter(stamp.isNull() | (stamp > mark))
+        same = [lost[c].eqNullSafe(known[c]) for c in schemas.QUARANTINE.names]
+        lost = lost.join(known, same, "left_anti")
+    writers.append_table(lost, dead)
+    if newest is not None:
+        writers.write_hwm(spark, mark_path, newest, now)
     return quality.recovery_summary(rejected)
 
 

@@ -84,21 +84,22 @@ def staged_overwrite(
     _publish(spark, path, cols)
 
 
-def _partition_values(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
+def partition_values(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
     """Distinct partition values: as many rows as the table has partition folders."""
     return [tuple(r) for r in df.select(*cols).distinct().collect()]
 
 
 def upsert_path(
     spark: SparkSession, path: str, df: DataFrame, keys: list[str],
-    cols: tuple[str, ...] = (), merge: Merge = upsert,
+    cols: tuple[str, ...] = (), merge: Merge = upsert, fixed_partition: bool = False,
 ) -> None:
     """Create the table from ``df``, or merge ``df`` into it.
 
     On a partitioned table only the partitions that receive rows or already hold
     one of the keys are read in full and rewritten. The second kind is found by
     scanning just the key columns, so a key whose row moves to another partition
-    leaves no old copy behind.
+    leaves no old copy behind. ``fixed_partition`` skips that scan for tables
+    whose keys are known never to move.
     """
     finish_interrupted(spark, path, cols)
     if not files.is_table(spark, path):
@@ -111,13 +112,16 @@ def upsert_path(
         return
     incoming = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        matched = target.select(*keys, *cols).join(incoming.select(*keys), keys, "left_semi")
-        touched = _partition_values(matched.select(*cols).union(incoming.select(*cols)), cols)
+        landing = incoming.select(*cols)
+        if not fixed_partition:
+            held = target.select(*keys, *cols).join(incoming.select(*keys), keys, "left_semi")
+            landing = landing.union(held.select(*cols))
+        touched = partition_values(landing, cols)
         if not touched:
             return
         affected = target.filter(touched_predicate(cols, touched))
         merged = merge(affected, incoming, keys).persist(StorageLevel.MEMORY_AND_DISK)
-        left = set(_partition_values(merged, cols))
+        left = set(partition_values(merged, cols))
         staged_overwrite(merged, path, cols, emptied=[v for v in touched if v not in left])
         merged.unpersist()
     finally:

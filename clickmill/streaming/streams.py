@@ -77,18 +77,20 @@ def latest_by_ingestion(target: DataFrame, changes: DataFrame, keys: list[str])
 
 def stream_to_silver(
     spark: SparkSession, src: str, dst: str, checkpoint: str,
-    schema: T.StructType = BRONZE, max_files: int | None = None,
+    schema: T.StructType = BRONZE, max_files: int | None = None, fixed_partition: bool = False,
 ) -> StreamingQuery:
     """Bronze files to silver, one row per event id, the latest ingestion kept.
 
     ``foreachBatch`` may replay a batch. The outcome depends on the rows alone,
     not on batch order, so replays and files delivered twice change nothing.
+    With ``fixed_partition`` (an event id never changes its day) a batch reads only
+    the days it brings.
     """
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         upsert_path(
             batch.sparkSession, dst, batch, ["event_id"],
-            cols=PARTITION_COLUMNS, merge=latest_by_ingestion,
+            cols=PARTITION_COLUMNS, merge=latest_by_ingestion, fixed_partition=fixed_partition,
         )
 
     cleaned = clean_bronze(stream_ndjson(spark, src, schema, max_files))

@@ -440,9 +440,9 @@ def stream_route(spark, sf_dir):
 
 def recover_quarantine(spark, sf_dir):
     """The recovery job end to end; rows it wrote, per destination and event type."""
-    src, bronze, dead = (files.scratch(spark, n) for n in ("quarantine", "bronze", "dead"))
+    src, bronze, dead, mark = (files.scratch(spark, n) for n in ("quarantine", "bronze", "dead", "mark"))
     writers.append_ndjson(X.quarantine(spark, sf_dir).drop("src_id"), src, "_quarantine_timestamp")
-    jobs.recover_quarantine(spark, src, bronze, dead, CLOCK)
+    jobs.recover_quarantine(spark, src, bronze, dead, mark, CLOCK)
     back = spark.read.schema(schemas.BRONZE).json(bronze).select("event_type", F.lit("bronze").alias("route"))
     lost = spark.read.parquet(dead).select("event_type", F.lit("dead_letter").alias("route"))
     return back.unionByName(lost).groupBy("route", "event_type").agg(F.count("*").alias("rows"))
