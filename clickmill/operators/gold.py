@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,9 +111,12 @@ def since_hwm(df: DataFrame, hwm: str) -> DataFrame:
     return sliced
 
 
-def ingested_since(df: DataFrame, hwm: str, column: str = "ingestion_timestamp") -> DataFrame:
-    """Rows that arrived after the mark, whatever day they belong to."""
-    return df.filter(F.col(column) > F.lit(hwm).cast(df.schema[column].dataType))
+def ingested_since(
+    df: DataFrame, hwm: str, overlap: timedelta = timedelta(0), column: str = "ingestion_timestamp"
+) -> DataFrame:
+    """Rows that arrived after the mark less ``overlap``, whatever day they belong to."""
+    mark = F.lit(hwm).cast(df.schema[column].dataType)
+    return df.filter(F.col(column) > mark - F.lit(overlap))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -20,7 +20,8 @@ def duplicate_keys(df: DataFrame, key: str = "event_id") -> DataFrame:
 
 def content_hash(df: DataFrame) -> Column:
     """Last tie-break: a fixed order between rows that differ in any column."""
-    return F.xxhash64(*[F.col(c) for c in df.columns if df.schema[c].dataType.typeName() != "variant"])
+    hashable = [f.name for f in df.schema if f.dataType.typeName() not in ("variant", "map")]
+    return F.xxhash64(*[F.col(c) for c in hashable])
 
 
 def dedup(
@@ -46,7 +47,9 @@ def apply_changes(
     """Type-1 change application: the highest sequence per key wins.
 
     The result depends only on the set of rows seen, so replaying a batch, or a
-    file delivered twice, changes nothing.
+    file delivered twice, changes nothing. ``delete_when`` removes keys whose
+    latest row matches it; the removal is not remembered, so an older row that
+    arrives in a later call brings its key back.
     """
     excluded = except_cols or []
     merged = changes

@@ -39,13 +39,11 @@ def run_gold(
     mark = writers.read_hwm(spark, hwm_path)
     table = readers.read_table(spark, silver_path, schemas.SILVER)
     arrived = F.col("ingestion_timestamp")
-    since = F.lit(mark).cast("timestamp")
-    newest = table.filter(arrived > since).agg(F.max(arrived).cast("string")).first()[0]
+    newest = gold.ingested_since(table, mark).agg(F.max(arrived).cast("string")).first()[0]
     if newest is None:
         return False
-    recent = table.filter(arrived > since - F.lit(overlap))
     cols = schemas.PARTITION_COLUMNS
-    touched = writers.partition_values(recent, cols)
+    touched = writers.partition_values(gold.ingested_since(table, mark, overlap), cols)
     days = table.filter(merge.touched_predicate(cols, touched)).select(
         "event_time", "user_id", "event_type", "product_id", "price", "device"
     ).persist(StorageLevel.MEMORY_AND_DISK)

@@ -23,6 +23,29 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move ``source`` to where ``target`` was."""
+    fs, src = _handle(spark, source)
+    _, dst = _handle(spark, target)
+    fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Relative paths of the partition folders ``depth`` levels down."""
+    fs, _ = _handle(spark, path)
+    found = [""]
+    for _ in range(depth):
+        found = [
+            f"{parent}/{child.getPath().getName()}" for parent in found
+            for child in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(path + parent))
+            if child.isDirectory()
+        ]
+    return found
+
+
 def is_table(spark: SparkSession, path: str) -> bool:
     """A finished columnar write, or a partitioned table with any file in it."""
     fs, where = _handle(spark, path)
@@ -30,11 +53,13 @@ def is_table(spark: SparkSession, path: str) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's own, else one for local runs."""
+    """Folder every executor can reach: the cluster's own, else a temporary one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="clickmill-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -51,14 +51,19 @@ def _stage(path: str) -> str:
 
 
 def _publish(spark: SparkSession, path: str, cols: tuple[str, ...]) -> None:
-    staged = spark.read.parquet(_stage(path))
-    writer = staged.write.mode("overwrite")
+    """Move the staged partitions, or the whole staged table, into place.
+
+    Moving keeps the file layout and writes the data once. Partitions that were
+    moved before an interruption are no longer staged, so repeating this is safe.
+    """
+    stage, path = _stage(path), path.rstrip("/")
     if cols:
-        writer = writer.partitionBy(*cols).option("partitionOverwriteMode", "dynamic")
+        for folder in files.partition_folders(spark, stage, len(cols)):
+            files.replace(spark, stage + folder, path + folder)
+        files.delete(spark, stage)
     else:
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.parquet(path)
-    files.delete(spark, _stage(path))
+        files.replace(spark, stage, path)
+    spark.catalog.refreshByPath(path)
 
 
 def finish_interrupted(spark: SparkSession, path: str, cols: tuple[str, ...] = ()) -> None:
@@ -103,8 +108,8 @@ def upsert_path(
     """
     finish_interrupted(spark, path, cols)
     if not files.is_table(spark, path):
-        first = merge(df.limit(0), df, keys)
-        staged_overwrite(first, path, cols)
+        nothing = spark.createDataFrame([], df.schema)
+        staged_overwrite(merge(nothing, df, keys), path, cols)
         return
     target = spark.read.schema(_table_schema(spark, path, cols)).parquet(path)
     if not cols:
@@ -155,18 +160,7 @@ def compact(
         table = table.repartition(target_files)
     stage = table.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (stage.partitionBy(*cols) if cols else stage).parquet(_stage(path))
-    _publish_as_is(spark, path, cols)
-
-
-def _publish_as_is(spark: SparkSession, path: str, cols: tuple[str, ...]) -> None:
-    """Publish one output file per staged file, so the chosen layout survives."""
-    size = spark.conf.get("spark.sql.files.openCostInBytes")
-    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.openCostInBytes", limit)
-        _publish(spark, path, cols)
-    finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", size)
+    _publish(spark, path, cols)
 
 
 HWM_SCHEMA = "last_processed STRING, updated_at TIMESTAMP"

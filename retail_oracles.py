@@ -277,6 +277,7 @@ ORACLES["run_gold"] = sql(RETAIL_SQL, DEVICE.format(src="retail_events"))
 
 # --- analyst queries ---------------------------------------------------------
 ORACLES["dau_range"] = sql(RETAIL_SQL, f"SELECT * EXCLUDE (purchasing_users) FROM ({DAU.format(src=LO_HI)})")
+ORACLES["dau_range_from_gold"] = sql(RETAIL_SQL, DAU.format(src=LO_HI))
 ORACLES["funnel_range"] = sql(RETAIL_SQL, FUNNEL.format(src=LO_HI))
 ORACLES["revenue_range"] = sql(RETAIL_SQL, REVENUE.format(src=LO_HI))
 ORACLES["top_products"] = sql(RETAIL_SQL, f"""SELECT product_id, count(*) AS purchase_count,

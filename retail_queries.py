@@ -645,6 +645,7 @@ QUERIES.update({
     "dim_users": over_events(dims.dim_users),
     "dim_products": over_events(dims.dim_products),
     "dau_range": over_events(lambda e: A.dau_range(e, LO, HI)),
+    "dau_range_from_gold": over_events(lambda e: A.between_dates(gold.daily_active_users(e), LO, HI)),
     "funnel_range": over_events(lambda e: A.funnel_range(e, LO, HI)),
     "revenue_range": over_events(lambda e: A.revenue_range(e, LO, HI)),
     "top_products": over_events(lambda e: A.top_products(e, 10)),
