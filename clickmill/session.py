@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Recording the Python line of every column call costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -37,26 +37,26 @@ def rename(column: str, names: dict[str, str]) -> Column:
     return chain
 
 
+def case(column: str, names: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in names.items()) + " END"
+
+
 def retail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    number = F.col("event_id").cast("string")
-    shopping = F.col("event_type").isin("view", "click", "purchase")
-    slot = (F.col("event_id") * 7 + F.col("user_id")) % 20
-    k = F.get_json_object("props", "$.k").cast("int")
-    delay = F.make_interval(secs=F.col("event_id") % 300)
-    return e.select(
-        F.concat(F.lit("evt-"), F.lpad(number, F.greatest(F.length(number), F.lit(8)), "0")).alias("event_id"),
-        F.col("event_id").alias("src_id"),
-        F.col("ts").alias("event_time"),
-        F.to_date("ts").alias("event_date"),
-        (F.col("user_id") + 1).cast("int").alias("user_id"),
-        rename("event_type", EVENT_NAMES).alias("event_type"),
-        F.when(shopping, 1001 + k % 50).cast("int").alias("product_id"),
-        F.when(shopping, F.col("value").cast("decimal(10,2)")).alias("price"),
-        F.when(slot < 11, "mobile").when(slot < 18, "desktop").otherwise("tablet").alias("device"),
-        F.element_at(F.array(*[F.lit(c) for c in COUNTRIES]), (F.col("user_id") % 13 + 1).cast("int"))
-        .alias("country"),
-        (F.col("ts") + delay).alias("ingestion_timestamp"),
+    shopping = "event_type IN ('view', 'click', 'purchase')"
+    slot = "(event_id * 7 + user_id) % 20"
+    countries = ", ".join(f"'{c}'" for c in COUNTRIES)
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('evt-', lpad(string(event_id), greatest(8, length(string(event_id))), '0')) AS event_id",
+        "event_id AS src_id",
+        "ts AS event_time",
+        "date(ts) AS event_date",
+        "int(user_id + 1) AS user_id",
+        f"{case('event_type', EVENT_NAMES)} AS event_type",
+        f"CASE WHEN {shopping} THEN int(1001 + int(get_json_object(props, '$.k')) % 50) END AS product_id",
+        f"CASE WHEN {shopping} THEN CAST(value AS DECIMAL(10,2)) END AS price",
+        f"CASE WHEN {slot} < 11 THEN 'mobile' WHEN {slot} < 18 THEN 'desktop' ELSE 'tablet' END AS device",
+        f"element_at(array({countries}), int(user_id % 13 + 1)) AS country",
+        "ts + make_interval(0, 0, 0, 0, 0, 0, event_id % 300) AS ingestion_timestamp",
         "value",
     )
 
@@ -181,15 +181,11 @@ quarantine AS (
 
 def session_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session-grain fact: a session is a user's day."""
-    e = retail_events(spark, sf_dir)
-    return e.select(
-        "event_id", "user_id",
-        F.concat_ws("-", F.col("user_id").cast("string"), F.col("event_date").cast("string"))
-        .alias("session_id"),
-        F.col("event_time").alias("event_timestamp"),
-        F.col("device").alias("device_type"),
-        rename("event_type", SESSION_NAMES).alias("event_type"),
-        "price", (1 + F.col("src_id") % 3).cast("int").alias("quantity"), "country",
+    return retail_events(spark, sf_dir).selectExpr(
+        "event_id", "user_id", "concat_ws('-', user_id, event_date) AS session_id",
+        "event_time AS event_timestamp", "device AS device_type",
+        f"{case('event_type', SESSION_NAMES)} AS event_type",
+        "price", "int(1 + src_id % 3) AS quantity", "country",
     )
 
 
