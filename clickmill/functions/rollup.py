@@ -52,51 +52,64 @@ def share_of_group(agg: DataFrame, by: list[str], value: str, name: str) -> Data
     return agg.join(totals, by).withColumn(name, pct).drop("_group_total")
 
 
-def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, q: float, name: str, width: float = 1.0
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Rows collapsed to (key, value, count) on the map side; NULL is a value too."""
+    return df.groupBy(*keys, F.col(value).cast("double").alias("value")).agg(F.count("*").alias("n"))
+
+
+def percentile_of_counts(
+    counts: DataFrame, keys: list[str], q: float, name: str, width: float = 1.0
 ) -> DataFrame:
-    """Interpolated percentile per key without holding a group in one task.
+    """Interpolated percentile per key without ordering a whole group in one task.
 
-    Rows collapse to (key, value, count) on the map side. Counts per value range
-    of ``width`` locate the one or two ranges that hold the wanted ranks; only the
-    values in those ranges are ordered. Range totals are ordered per key, and
-    their number is set by the spread of the values, not by the row count.
+    Counts per value range of ``width`` locate the one or two ranges that hold the
+    wanted ranks; only the values in those ranges are ordered. Range totals are
+    ordered per key, and their number is set by the spread of the values, not by
+    the row count. NULLs weigh nothing, and a key with nothing else gets NULL; to
+    filter them here would make Spark read the input once more for the values.
     """
-    per_value = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_range", F.floor(F.col("_v") / F.lit(float(width))))
+    weighed = counts.select(
+        *keys, "value", F.when(F.col("value").isNull(), 0).otherwise(F.col("n")).alias("_n"),
+        F.coalesce(F.floor(F.col("value") / F.lit(float(width))), F.lit(-(2 ** 63))).alias("_range"),
     )
     ordered = Window.partitionBy(*keys).orderBy("_range")
     whole = Window.partitionBy(*keys)
     ranges = (
-        per_value.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn"))
+        weighed.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn"))
         .withColumn("_upto", F.sum("_rn").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_rank", (F.sum("_rn").over(whole) - 1) * F.lit(float(q)))
+        .withColumn("_all", F.sum("_rn").over(whole))
+        .withColumn("_rank", (F.col("_all") - 1) * F.lit(float(q)))
         .withColumn("_before", F.col("_upto") - F.col("_rn"))
-        .filter((F.floor("_rank") < F.col("_upto")) & (F.ceil("_rank") >= F.col("_before")))
+        .filter((F.col("_all") == 0)
+                | ((F.floor("_rank") < F.col("_upto")) & (F.ceil("_rank") >= F.col("_before"))))
         .select(*keys, "_range", "_before", "_rank")
     )
-    inside = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        per_value.join(ranges, [*keys, "_range"])
+        weighed.join(ranges, [*keys, "_range"])
         .withColumn("_last", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_first", F.col("_last") - F.col("_n"))
     )
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_first")) & (rank < F.col("_last")), F.col("_v")))
-
-    return (
-        placed.groupBy(*keys)
-        .agg(value_at(F.floor("_rank")).alias("_lo"), value_at(F.ceil("_rank")).alias("_hi"),
-             F.max("_rank").alias("_rank"))
-        .select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo"))
-                        * (F.col("_rank") - F.floor("_rank"))).alias(name))
+        return F.max(F.when((rank >= F.col("_first")) & (rank < F.col("_last")), F.col("value")))
+
+    at_ranks = placed.groupBy(*keys).agg(
+        value_at(F.floor("_rank")).alias("_lo"), value_at(F.ceil("_rank")).alias("_hi"),
+        F.max("_rank").alias("_rank"),
+    )
+    part = F.col("_rank") - F.floor("_rank")
+    return at_ranks.select(
+        *keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias(name)
     )
 
 
+def exact_percentile(
+    df: DataFrame, keys: list[str], value: str, q: float, name: str, width: float = 1.0
+) -> DataFrame:
+    return percentile_of_counts(value_counts(df, keys, value), keys, q, name, width)
+
+
 def pick_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row per key in ``order``.
 

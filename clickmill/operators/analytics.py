@@ -142,9 +142,9 @@ def time_to_cart(
         gap = _seconds(next_at) - _seconds(at)
         return F.when((kind == start) & (next_kind == then) & (gap < max_seconds), gap)
 
+    paired = recent.withColumns({f"next_{c}": F.lead(c).over(in_slot) for c in ("event_type", "at")})
+    inside = wanted(F.col("event_type"), F.col("at"), F.col("next_event_type"), F.col("next_at"))
     event = F.struct("at", "event_id", "event_type")
-    paired = recent.withColumn("next", F.lead(event).over(in_slot))
-    inside = wanted(F.col("event_type"), F.col("at"), F.col("next.event_type"), F.col("next.at"))
     slots = paired.groupBy("session_id", "slot").agg(
         F.sum(inside).alias("seconds"), F.count(inside).alias("pairs"),
         F.min(event).alias("head"), F.max(event).alias("tail"),

@@ -10,7 +10,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import retail_queries as Q
-from clickmill.operators import analytics, gold, governance, ingest, silver
+from clickmill.operators import analytics, gold, governance, ingest, oplogs, silver
 from clickmill.schemas import columns
 from clickmill.sources import files, readers
 
@@ -62,6 +62,16 @@ def test_filters_and_columns_reach_the_scan(spark):
         assert pushed in text
 
 
+def test_latency_report_reads_the_log_once(spark):
+    log = X.table(spark, SF_DIR, "events").select(
+        F.col("ts").alias("timestamp"), F.lit("validator").alias("component"),
+        F.col("event_type").alias("status"), F.col("value").alias("processing_time_ms"))
+    report = oplogs.latency_by_bin(log.withColumn("status", F.lit("valid")))
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_top_n_needs_no_full_sort(events):
     assert "TakeOrderedAndProject" in plan(analytics.top_products(events, 10))
 
