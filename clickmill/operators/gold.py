@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,13 +89,22 @@ def device_daily(df: DataFrame) -> DataFrame:
     )
 
 
-# name -> (builder, key columns); the keys are what an upsert matches on.
+class GoldTable(NamedTuple):
+    """How a daily table is built, what identifies a row, and how it is partitioned."""
+
+    build: Callable[[DataFrame], DataFrame]
+    keys: list[str]
+    partitions: tuple[str, ...] = ()
+
+
+# Only the product table grows with more than days and devices, so only it is
+# partitioned: an upsert rewrites the days it touches and no others.
 GOLD_TABLES = {
-    "gold_daily_active_users": (daily_active_users, ["event_date"]),
-    "gold_conversion_funnel": (conversion_funnel, ["event_date"]),
-    "gold_daily_revenue": (daily_revenue, ["event_date"]),
-    "gold_top_products": (product_daily, ["event_date", "product_id"]),
-    "gold_events_by_device": (device_daily, ["event_date", "device"]),
+    "gold_daily_active_users": GoldTable(daily_active_users, ["event_date"]),
+    "gold_conversion_funnel": GoldTable(conversion_funnel, ["event_date"]),
+    "gold_daily_revenue": GoldTable(daily_revenue, ["event_date"]),
+    "gold_top_products": GoldTable(product_daily, ["event_date", "product_id"], ("event_date",)),
+    "gold_events_by_device": GoldTable(device_daily, ["event_date", "device"]),
 }
 
 

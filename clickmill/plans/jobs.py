@@ -37,20 +37,23 @@ def run_gold(
     arrived.
     """
     mark = writers.read_hwm(spark, hwm_path)
-    table = readers.read_table(spark, silver_path, schemas.SILVER)
+    events = readers.read_table(spark, silver_path, schemas.SILVER)
     arrived = F.col("ingestion_timestamp")
-    newest = gold.ingested_since(table, mark).agg(F.max(arrived).cast("string")).first()[0]
+    newest = gold.ingested_since(events, mark).agg(F.max(arrived).cast("string")).first()[0]
     if newest is None:
         return False
     cols = schemas.PARTITION_COLUMNS
-    touched = writers.partition_values(gold.ingested_since(table, mark, overlap), cols)
-    days = table.filter(merge.touched_predicate(cols, touched)).select(
+    touched = writers.partition_values(gold.ingested_since(events, mark, overlap), cols)
+    days = events.filter(merge.touched_predicate(cols, touched)).select(
         "event_time", "user_id", "event_type", "product_id", "price", "device"
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for name, (build, keys) in gold.GOLD_TABLES.items():
-            fresh = build(days).withColumn("processing_timestamp", F.lit(str(now)).cast("timestamp"))
-            writers.upsert_path(spark, f"{gold_dir}/{name}", fresh, keys)
+        for name, table in gold.GOLD_TABLES.items():
+            fresh = table.build(days).withColumn("processing_timestamp", F.lit(str(now)).cast("timestamp"))
+            # the date is part of every key, so a row never changes its partition
+            writers.upsert_path(
+                spark, f"{gold_dir}/{name}", fresh, table.keys, table.partitions, fixed_partition=True
+            )
     finally:
         days.unpersist()
     writers.write_hwm(spark, hwm_path, newest, now)
@@ -116,7 +119,7 @@ def refresh_derived(spark: SparkSession, fact: Callable[[], DataFrame], base: st
     """Recompute the derived tables that are past their lag; returns their names."""
     done = []
     for name, lag in TARGET_LAGS.items():
-        build = gold.GOLD_TABLES[name][0]
+        build = gold.GOLD_TABLES[name].build
         if writers.refresh_if_stale(spark, f"{base}/{name}", lambda b=build: b(fact()), lag, now):
             done.append(name)
     return done

@@ -111,7 +111,7 @@ def upsert_path(
         nothing = spark.createDataFrame([], df.schema)
         staged_overwrite(merge(nothing, df, keys), path, cols)
         return
-    target = spark.read.schema(_table_schema(spark, path, cols)).parquet(path)
+    target = spark.read.schema(_table_schema(spark, path, df.schema, cols)).parquet(path)
     if not cols:
         staged_overwrite(merge(target, df, keys), path)
         return
@@ -133,11 +133,12 @@ def upsert_path(
         incoming.unpersist()
 
 
-def _table_schema(spark: SparkSession, path: str, cols: tuple[str, ...]) -> T.StructType:
-    """Table schema with its partition columns as text ("01" stays "01")."""
-    found = spark.read.parquet(path).schema
+def _table_schema(
+    spark: SparkSession, path: str, like: T.StructType, cols: tuple[str, ...]
+) -> T.StructType:
+    """Table schema with its partition columns typed as in the incoming rows ("01" stays text)."""
     return T.StructType([
-        T.StructField(f.name, T.StringType() if f.name in cols else f.dataType) for f in found
+        like[f.name] if f.name in cols else f for f in spark.read.parquet(path).schema
     ])
 
 

@@ -273,7 +273,7 @@ dim_date AS (SELECT d AS date_key, CAST(year(d) AS INTEGER) AS "year", CAST(mont
 ORACLES["dim_date"] = sql(RETAIL_SQL, """SELECT d.* REPLACE (CAST(date_key AS VARCHAR) AS date_key), e.total_events
   FROM dim_date d LEFT JOIN (SELECT event_date, count(*) AS total_events FROM retail_events GROUP BY 1) e
   ON e.event_date = d.date_key""", _CALENDAR)
-ORACLES["run_gold"] = sql(RETAIL_SQL, DEVICE.format(src="retail_events"))
+ORACLES["run_gold"] = sql(RETAIL_SQL, PRODUCT.format(src="retail_events"))
 
 # --- analyst queries ---------------------------------------------------------
 ORACLES["dau_range"] = sql(RETAIL_SQL, f"SELECT * EXCLUDE (purchasing_users) FROM ({DAU.format(src=LO_HI)})")
