@@ -71,9 +71,11 @@ def recover_quarantine(
     """
     mark = writers.read_hwm(spark, mark_path)
     stamp = F.col("_quarantine_timestamp")
-    rejected = spark.read.schema(schemas.QUARANTINE).json(quarantine).filter(
-        stamp.isNull() | (stamp > mark)
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    rejected = (
+        readers.read_ndjson(spark, quarantine, schemas.QUARANTINE)
+        .select(*schemas.QUARANTINE.names).filter(stamp.isNull() | (stamp > mark))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     newest = rejected.agg(F.max(stamp)).first()[0]
     fixed = quality.recovered(rejected).drop("_quarantine_timestamp")
     writers.append_ndjson(fixed.withColumn("_at", F.lit(str(now)).cast("timestamp")), bronze, "_at")

@@ -152,7 +152,10 @@ def compact(
     spread over several files instead of one task.
     """
     finish_interrupted(spark, path, cols)
-    table = spark.read.parquet(path)
+    # partition values are read as text, so folders keep their names ("01" stays "01")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    schema = _table_schema(spark, path, text, cols)
+    table = spark.read.schema(schema).parquet(path)
     order = [*cols, *cluster_cols]
     if order:
         row_hash = F.xxhash64(*table.columns)

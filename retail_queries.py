@@ -58,6 +58,14 @@ def staged_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def silver_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The silver table with its partition columns as text, whatever the session infers."""
+    found = spark.read.parquet(path).schema
+    kinds = {c: T.StringType() for c in schemas.PARTITION_COLUMNS}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    return readers.read_table(spark, path, schema).select(*EVENT_COLUMNS, *schemas.PARTITION_COLUMNS)
+
+
 # --- sources and sinks -------------------------------------------------------
 
 def read_ndjson(spark, sf_dir):
@@ -121,7 +129,7 @@ def write_partitions(spark, sf_dir):
     late = X.retail_bronze(spark, sf_dir).filter(F.col("event_date") >= "2024-01-20")
     fixed = silver.dedup(late, ["event_id"], "ingestion_timestamp", keep="last").drop("src_id", "value")
     writers.write_partitions(silver.add_partitions(fixed), path, schemas.PARTITION_COLUMNS)
-    return spark.read.parquet(path).select(*EVENT_COLUMNS, "year", "month", "day")
+    return silver_rows(spark, path)
 
 
 def append_ndjson(spark, sf_dir):
@@ -191,7 +199,7 @@ def append_evolving(spark, sf_dir):
 def compact(spark, sf_dir):
     path = silver_table(spark, sf_dir)
     writers.compact(spark, path, 4, cluster_cols=("user_id",), cols=schemas.PARTITION_COLUMNS)
-    return spark.read.parquet(path).select(*EVENT_COLUMNS, "year", "month", "day")
+    return silver_rows(spark, path)
 
 
 def as_of(spark, sf_dir):

@@ -71,13 +71,20 @@ def compare(spark, con, query, statement, sf_dir):
 
 
 def main():
+    from pyspark.sql import SparkSession
+
     import __spark_entry__ as entry
     from clickmill.session import build_session
 
     sf_dir, only = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-    })
+    local = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    if os.environ.get("PLAIN_SESSION"):  # Spark's defaults instead of the library's settings
+        builder = SparkSession.builder.master("local[8]")
+        for key, value in local.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session(master="local[8]", **local)
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, sqls = oracle_connection(sf_dir), entry.queries(), entry.oracle_sql()
     bad = 0

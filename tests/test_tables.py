@@ -179,3 +179,21 @@ def test_quarantine_recovery_twice_adds_nothing(spark):
     assert run(mark) == (0, back, lost)
     # a run that starts over without its mark repeats no dead letter
     assert run(files.scratch(spark, "m")) == (total, 2 * back, lost)
+
+
+def test_compaction_keeps_partition_names_whatever_the_session_infers(spark):
+    path, key = files.scratch(spark, "t"), "spark.sql.sources.partitionColumnTypeInference.enabled"
+    df = silver_rows(
+        spark, ("e1", "2024-01-01 10:00:00", 1, "2024-01-01 10:00:01"),
+        ("e2", "2024-01-02 10:00:00", 2, "2024-01-02 10:00:01"))
+    writers.write_partitions(df, path, PARTITION_COLUMNS)
+    before = files.partition_folders(spark, path, 3)
+    spark.conf.set(key, "true")
+    try:
+        writers.compact(spark, path, 1, cluster_cols=("event_id",), cols=PARTITION_COLUMNS)
+        writers.upsert_path(spark, path, df.filter("v = 2"), ["event_id"], PARTITION_COLUMNS, latest_by_ingestion)
+        assert rows(spark.read.parquet(path).select("event_id", "v")) == [("e1", 1), ("e2", 2)]
+    finally:
+        spark.conf.set(key, "false")
+    assert sorted(files.partition_folders(spark, path, 3)) == sorted(before) == [
+        "/year=2024/month=01/day=01", "/year=2024/month=01/day=02"]
