@@ -197,3 +197,13 @@ def test_compaction_keeps_partition_names_whatever_the_session_infers(spark):
         spark.conf.set(key, "false")
     assert sorted(files.partition_folders(spark, path, 3)) == sorted(before) == [
         "/year=2024/month=01/day=01", "/year=2024/month=01/day=02"]
+
+
+def test_interrupted_partition_moves_are_finished(spark):
+    path = files.scratch(spark, "t")
+    schema = "p string, k string, v int"
+    spark.createDataFrame([("a", "x", 1), ("b", "y", 1)], schema).write.partitionBy("p").parquet(path)
+    spark.createDataFrame([("b", "y", 2)], schema).write.partitionBy("p").parquet(path + "__staged")
+    writers.finish_interrupted(spark, path, ("p",))
+    assert rows(spark.read.parquet(path).select("p", "k", "v")) == [("a", "x", 1), ("b", "y", 2)]
+    assert not files.exists(spark, path + "__staged")
