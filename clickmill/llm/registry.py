@@ -1,8 +1,13 @@
 """The registered query of each operator and, where SQL can express it, its SQL."""
 
+from .op3_decontamination import op3_decontamination
 from .op4_substring import op4_substring_dedup
 from .op8_suffix_array import op8_suffix_array_dedup
+from .op9_language_id import op9_language_id
+from .op10_jaccard_join import op10_jaccard_join
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op8_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op3_decontamination, op4_substring_dedup, op8_suffix_array_dedup, op9_language_id, op10_jaccard_join,
+)}
 
 ORACLES: dict[str, str] = {}
