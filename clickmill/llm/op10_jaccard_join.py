@@ -46,6 +46,8 @@ from .components import components
 from .windows import U, hashes, mix, powers, prefix_sums, slices, word_units
 
 WIDTH, PERCENT = 4, 85
+#: Shingles and similarity where documents are removed.
+STAGE_WIDTH, STAGE_PERCENT = 5, 80
 LEAF, PIVOTS, ROUNDS, BLOCK = 8, 4, 3, 64
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -208,7 +210,7 @@ def _open_regions(regions: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, most_bits: int = sketch.MAX_BITS) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reached by links) of every row, and doc_key."""
+    """doc_id, n_shingles and component_id (the smallest doc_id reached by links) of every row, and the keys of both."""
     rows, step = keyed(docs)
     rows = rows.select("doc_key", "doc_id", "text")
     spark = docs.sparkSession
@@ -265,7 +267,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         every.join(member, "doc", "left")
         .select("doc_id", F.col("size").alias("n_shingles"),
                 F.expr(f"floor(coalesce(component, doc) / {step}D)").cast("long").alias("component_id") if step > 1
-                else F.coalesce("component", "doc").alias("component_id"), F.col("doc").alias("doc_key"))
+                else F.coalesce("component", "doc").alias("component_id"), F.col("doc").alias("doc_key"), F.coalesce("component", "doc").alias("component_key"))
     )
 
 
@@ -283,5 +285,13 @@ def _regions_of(width: int, percent: int, common):
     return keys_of
 
 
+def one_of_each(docs: DataFrame, width: int = STAGE_WIDTH, percent: int = STAGE_PERCENT) -> DataFrame:
+    """Of each group of linked documents the row whose doc_id is smallest; documents without shingles all stay."""
+    found = jaccard_components(docs, width, percent)
+    gone = found.where("doc_key <> component_key").select("doc_key")
+    rows, _ = keyed(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
+    return rows.join(gone, "doc_key", "left_anti").select(*docs.columns)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("doc_key")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("doc_key", "component_key")

@@ -2,12 +2,13 @@
 
 from .op3_decontamination import op3_decontamination
 from .op4_substring import op4_substring_dedup
+from .op7_sentencepiece import op7_sentencepiece
 from .op8_suffix_array import op8_suffix_array_dedup
 from .op9_language_id import op9_language_id
 from .op10_jaccard_join import op10_jaccard_join
 
 QUERIES = {f.__name__: f for f in (
-    op3_decontamination, op4_substring_dedup, op8_suffix_array_dedup, op9_language_id, op10_jaccard_join,
+    op3_decontamination, op4_substring_dedup, op7_sentencepiece, op8_suffix_array_dedup, op9_language_id, op10_jaccard_join,
 )}
 
 ORACLES: dict[str, str] = {}
