@@ -98,7 +98,7 @@ def _dealt(width: int, percent: int, common, shared):
                 if len(one) and (low[-1], high[-1]) not in seen:
                     seen.add((low[-1], high[-1]))
                     first = _own_regions(one, common.value, percent)
-                    first = first[shared.value.reached(first)]
+                    first = first[shared.value.reached(mix(first))]
                     regions.append(first)
                     of.append(np.full(len(first), doc))
             n = np.array(n, np.int64)
@@ -281,7 +281,8 @@ def _regions_of(width: int, percent: int, common):
             mark = (int(np.add.reduce(mix(one))), int(np.bitwise_xor.reduce(mix(one + U(1)))))
             if mark not in seen:
                 seen.add(mark)
-                yield _own_regions(one, common.value, percent)
+                # Hashed anew: a set's first shingles are those with the lowest hashes and would share few cells.
+                yield mix(_own_regions(one, common.value, percent))
     return keys_of
 
 
