@@ -19,6 +19,8 @@ BATCH_ROWS = 50_000
 
 __all__ = ["BATCH_ROWS", "batches", "keyed", "scratch", "settle", "shared_folder", "ship", "table", "texts"]
 
+#: Texts differ much in length: record batches are bounded by bytes as well as by rows.
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -36,6 +38,8 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     context.addPyFile(path)
+    if spark.conf.get(BATCH_LIMIT, "") == "":
+        spark.conf.set(BATCH_LIMIT, "32m")
     _SHIPPED.add(context.applicationId)
 
 

@@ -14,8 +14,12 @@ most eps = 1 - threshold.
    become pivots, each document's distance to each is computed, it belongs to the nearest
    pivot p and, by the triangle inequality, may link with documents of pivot q only if
    d(x, q) <= d(x, p) + 2 eps: it is replicated to those. Regions are joined again the same
-   way. Whoever is within eps of a pivot has joined its component, and a region all of
-   whose documents are in one component is finished: it can add nothing.
+   way. Whoever links with a pivot has joined its component, and a region all of whose
+   documents are in one component is finished: it can add nothing. Distances here are those
+   of the documents' profiles, the numbers of their shingles in CELLS hash cells, by the
+   Jaccard distance of multisets. That is a metric too and never more than d, so windows
+   stay right with it; and pairs of profiles further apart than eps cannot link. Only the
+   pairs left are compared by their whole sets.
 3. Unrelated documents are all at distances near 1, where the triangle inequality separates
    nothing. What ROUNDS rounds leave is compared in blocks of BLOCK documents, block against
    block, but for pairs that are of one component already.
@@ -48,7 +52,7 @@ from .windows import U, hashes, mix, powers, prefix_sums, slices, word_units
 WIDTH, PERCENT = 4, 85
 #: Shingles and similarity where documents are removed.
 STAGE_WIDTH, STAGE_PERCENT = 5, 80
-LEAF, PIVOTS, ROUNDS, BLOCK = 8, 4, 3, 64
+LEAF, PIVOTS, ROUNDS, BLOCK, CELLS = 8, 4, 3, 64, 256
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -70,6 +74,17 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[n
                 yield np.zeros(0, U)
 
 
+def profile(one: np.ndarray) -> bytes:
+    """Number of shingles in each of CELLS cells, as one byte each, or four where one is not enough."""
+    counts = np.bincount((one & U(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    return counts.astype(np.uint8 if len(one) < 256 or counts.max() < 256 else np.uint32).tobytes()
+
+
+def _profiles(column: pa.Array) -> np.ndarray:
+    rows = [np.frombuffer(x.as_buffer(), np.uint8 if len(x.as_buffer()) == CELLS else np.uint32) for x in column]
+    return np.array(rows, np.int64).reshape(len(rows), CELLS)
+
+
 def need(size, percent: int):
     """Shingles that a document linked with one of this size has in common with it, at least."""
     return (percent * size + 99) // 100
@@ -89,10 +104,11 @@ def _dealt(width: int, percent: int, common, shared):
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             keys = batch.column("doc_key").to_numpy()
-            n, low, high, regions, of = [], [], [], [], []
+            n, low, high, regions, of, counts = [], [], [], [], [], []
             seen: set[tuple[int, int]] = set()
             for doc, one in enumerate(_sets_of(batch, width)):
                 n.append(len(one))
+                counts.append(profile(one))
                 low.append(int(np.add.reduce(mix(one))) if len(one) else 0)
                 high.append(int(np.bitwise_xor.reduce(mix(one + U(1)))) if len(one) else 0)
                 if len(one) and (low[-1], high[-1]) not in seen:
@@ -105,16 +121,17 @@ def _dealt(width: int, percent: int, common, shared):
             none = np.zeros(len(n), np.int64)
             yield from batches({
                 "posting": np.zeros(len(n), bool), "region": none, "doc": keys, "size": n, "low": np.array(low, U).view(np.int64),
-                "high": np.array(high, U).view(np.int64), "doc_id": batch.column("doc_id")})
+                "high": np.array(high, U).view(np.int64), "doc_id": batch.column("doc_id"), "profile": pa.array(counts, pa.binary())})
             if regions:
                 which, region = np.concatenate(of), np.concatenate(regions).view(np.int64)
                 yield from batches({
                     "posting": np.ones(len(which), bool), "region": region, "doc": keys[which], "size": n[which],
-                    "low": none[:1].repeat(len(which)), "high": none[:1].repeat(len(which)), "doc_id": keys[which]})
+                    "low": none[:1].repeat(len(which)), "high": none[:1].repeat(len(which)), "doc_id": keys[which],
+                    "profile": pa.nulls(len(which), pa.binary())})
     return run
 
 
-_DEALT = "posting boolean, region long, doc long, size long, low long, high long, doc_id long"
+_DEALT = "posting boolean, region long, doc long, size long, low long, high long, doc_id long, profile binary"
 
 
 def _shared_shingles(width: int):
@@ -135,6 +152,23 @@ def _shared_shingles(width: int):
     return run
 
 
+def _profile_distances(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in incoming:
+        a, b = _profiles(batch.column(2)), _profiles(batch.column(3))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(np.minimum(a, b).sum(1)), pa.array(np.maximum(a, b).sum(1))],
+            ["u", "v", "shared", "joint"])
+
+
+def profile_distances(profiles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(u, v, shared, joint) of the profiles of each pair: shared / joint is at least the similarity of the sets."""
+    left = profiles.select(F.col("doc").alias("u"), F.col("profile").alias("profile_u"))
+    right = profiles.select(F.col("doc").alias("v"), F.col("profile").alias("profile_v"))
+    joined = pairs.select("u", "v").distinct().join(right, "v").join(left, "u")
+    return settle(joined.select("u", "v", "profile_u", "profile_v").mapInArrow(
+        _profile_distances, "u long, v long, shared long, joint long"), "profiles")
+
+
 def distances(docs: DataFrame, pairs: DataFrame, width: int, rows: int) -> DataFrame:
     """(u, v, shared, joint): intersection and union of the sets of each pair."""
     spark = docs.sparkSession
@@ -232,24 +266,27 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     postings = dealt.where("posting").select("region", "doc", "size").join(links.select(F.col("v").alias("doc")), "doc", "left_anti")
 
     regions = settle(_sized(postings), "regions")
+    profiles = every.select("doc", "profile")
     fits = F.col("shared") * 100 >= F.col("joint") * percent
-    pairs = _leaf_pairs(regions.where(F.col("n") <= LEAF), percent)
     large = regions.where(F.col("n") > LEAF)
     for round_ in range(ROUNDS + 1):
-        last = round_ == ROUNDS
+        last = round_ == ROUNDS or large.isEmpty()
+        pairs = _leaf_pairs(regions.where(F.col("n") <= LEAF), percent)
         if last:
-            pairs = pairs.union(_block_pairs(large, percent))
-            found = distances(rows, pairs, width, size["rows"])
+            if round_:
+                pairs = pairs.union(_block_pairs(large, percent))
         else:
-            to_pivots = large.join(_pivots(large, round_), "region")
-            reach = to_pivots.where("doc <> pivot").select(F.least("doc", "pivot").alias("u"), F.greatest("doc", "pivot").alias("v"))
-            found = distances(rows, pairs.union(reach), width, size["rows"])
-        links = settle(links.union(found.where(fits).select("u", "v")), "links")
-        if last or large.isEmpty():
+            to_pivots = large.join(settle(_pivots(large, round_), "pivots"), "region")
+            pairs = pairs.union(to_pivots.where("doc <> pivot").select(
+                F.least("doc", "pivot").alias("u"), F.greatest("doc", "pivot").alias("v")))
+        near = profile_distances(profiles, pairs)
+        exact = distances(rows, near.where(fits), width, size["rows"])
+        links = settle(links.union(exact.where(fits).select("u", "v")), "links")
+        if last:
             break
         eps = 1 - percent / 100
         away = to_pivots.join(
-            found.select(F.col("u").alias("a"), F.col("v").alias("b"), (1 - F.col("shared") / F.col("joint")).alias("d")),
+            near.select(F.col("u").alias("a"), F.col("v").alias("b"), (1 - F.col("shared") / F.col("joint")).alias("d")),
             (F.least("doc", "pivot") == F.col("a")) & (F.greatest("doc", "pivot") == F.col("b")), "left",
         ).select("region", "doc", "size", "number", F.coalesce("d", F.lit(0.0)).alias("d"))
         nearest = away.groupBy("region", "doc").agg(F.min("d").alias("near"))
@@ -257,7 +294,6 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         within = (away.join(nearest, ["region", "doc"]).where(F.col("d") <= F.col("near") + 2 * eps + 1e-9)
                   .select(F.xxhash64("region", "number", F.lit(round_)).alias("region"), "doc", "size"))
         regions = settle(_open_regions(_sized(within.distinct()), links), "regions")
-        pairs = _leaf_pairs(regions.where(F.col("n") <= LEAF), percent)
         large = regions.where(F.col("n") > LEAF)
         if regions.isEmpty():
             break
