@@ -38,7 +38,7 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     context.addPyFile(path)
-    if spark.conf.get(BATCH_LIMIT, "") == "":
+    if spark.conf.get(BATCH_LIMIT, None) is None:
         spark.conf.set(BATCH_LIMIT, "32m")
     _SHIPPED.add(context.applicationId)
 
