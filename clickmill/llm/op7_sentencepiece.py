@@ -268,14 +268,17 @@ def _encoded(pieces):
 def _decoded(pieces):
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
-            column = batch.column("ids")
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.array([len(x) if x.is_valid else 0 for x in column], np.int64)
-            back, ends = pieces.value.decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
-            whole = back.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([whole[a:b].decode() for a, b in zip(ends[:-1], ends[1:])], pa.string())],
-                [*batch.schema.names, "decoded"])
+            ids = batch.column("ids").fill_null([]) if batch.column("ids").null_count else batch.column("ids")
+            at = ids.offsets.to_numpy().astype(np.int64)
+            # A million ids at a time, so that a batch of long texts needs no more memory than others.
+            for i, j in slices(at, at, SLICE_BYTES // 2):
+                flat = ids.values.slice(int(at[i]), int(at[j] - at[i])).to_numpy(zero_copy_only=False).astype(np.int64)
+                back, ends = pieces.value.decode(flat, at[i:j + 1] - at[i])
+                whole = back.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(i, j - i) for c in batch.columns),
+                     pa.array([whole[a:b].decode() for a, b in zip(ends[:-1], ends[1:])], pa.string())],
+                    [*batch.schema.names, "decoded"])
     return run
 
 
