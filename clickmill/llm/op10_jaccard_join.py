@@ -184,9 +184,11 @@ def distances(docs: DataFrame, pairs: DataFrame, width: int, rows: int) -> DataF
     held = docs.select("doc_key", "text").mapInArrow(pick, "doc_key long, text string")
     left = held.select(F.col("doc_key").alias("u"), F.col("text").alias("text_u"))
     right = held.select(F.col("doc_key").alias("v"), F.col("text").alias("text_v"))
-    return settle(
+    out = settle(
         pairs.join(right, "v").join(left, "u").select("u", "v", "text_u", "text_v")
         .mapInArrow(_shared_shingles(width), "u long, v long, shared long, joint long"), "distances")
+    wanted.destroy()
+    return out
 
 
 def _doc_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -259,6 +261,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         rows, _regions_of(width, percent, common), sketch.bits_for(shingles * (100 - percent) // 100 + size["rows"], most_bits), 1, 2))
 
     dealt = settle(rows.mapInArrow(_dealt(width, percent, common, shared), _DEALT), "dealt", "posting")
+    common.destroy()
+    shared.destroy()
     every = dealt.where(~F.col("posting"))
     classes = every.where("size > 0").groupBy("low", "high").agg(F.min("doc").alias("head"), F.count("*").alias("copies"))
     copies = every.join(classes.where("copies > 1"), ["low", "high"]).select(F.col("head").alias("u"), F.col("doc").alias("v")).where("u <> v")

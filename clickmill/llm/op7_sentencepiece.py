@@ -12,7 +12,7 @@ one) is read by Zipf's law: the score of rank r is -ln(r + 1) - ln(sum of 1 / (i
 
 Pieces have markers at their beginning only, so no piece crosses from a character into a
 marker: a text is a row of chunks that are cut on their own. A task cuts each distinct chunk
-of a few MB once, all chunks in step. The vocabulary is broadcast: MAX_PIECES bounds it.
+of about 2 MB once, all chunks in step. The vocabulary is broadcast: MAX_PIECES bounds it.
 
  - A missing or empty text has no pieces and decodes to the empty text.
  - Rows are treated one by one; repeated or missing ids keep a row each. An empty table
@@ -235,7 +235,7 @@ def _digests(pieces):
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             buf, offsets = texts(batch.column("text"))
-            for i, j in slices(buf, offsets, 2 * SLICE_BYTES):
+            for i, j in slices(buf, offsets, SLICE_BYTES):
                 part = offsets[i:j + 1]
                 ids, at = pieces.value.encode(buf[part[0]:part[-1]], part - part[0])
                 back, ends = pieces.value.decode(ids, at)
@@ -255,7 +255,7 @@ def _encoded(pieces):
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             buf, offsets = texts(batch.column("text"))
-            for i, j in slices(buf, offsets, 2 * SLICE_BYTES):
+            for i, j in slices(buf, offsets, SLICE_BYTES):
                 part = offsets[i:j + 1]
                 ids, at = pieces.value.encode(buf[part[0]:part[-1]], part - part[0])
                 yield pa.RecordBatch.from_arrays(
@@ -298,6 +298,19 @@ def decode(rows: DataFrame, path: str = MODEL) -> DataFrame:
     return rows.mapInArrow(_decoded(pieces), f"{_types(rows)}, decoded string")
 
 
+def _both(pieces):
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _encoded(pieces)(incoming):
+            yield from _decoded(pieces)(iter([batch]))
+    return run
+
+
+def encode_and_decode(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """docs with ids and decoded, in one pass."""
+    pieces = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))
+    return docs.mapInArrow(_both(pieces), f"{_types(docs)}, ids array<int>, decoded string")
+
+
 def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """Per document: number of pieces, those that are byte pieces, SHA-256 of the ids (little-endian, 32 bit), and the decoded text's length and SHA-256."""
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))

@@ -293,6 +293,8 @@ def repeated_spans(docs: DataFrame, search: Search, sketch_rows: int = 1, most_b
         docs.mapInArrow(_emit(search, counted, hot), _RUN)
         .repartition(F.col("key")).sortWithinPartitions("key")
         .mapInArrow(_compare_runs(search), _PART), "runs", "open")
+    counted.destroy()
+    hot.destroy()
     open_ = parts.where(F.col("open"))
     wanted = open_.groupBy("doc_key").agg(F.collect_list(F.struct("key", "start", "end")).alias("wanted"))
     holders = spark.sparkContext.broadcast(

@@ -13,7 +13,6 @@ run is all windows of one anchor occurrence, a few per cent of the number of win
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
@@ -22,6 +21,7 @@ SLICE_BYTES = 1 << 21
 SEGMENT_UNITS = 1 << 21
 _INDEX = U((1 << 22) - 1)
 _STEP = U(0x9E3779B97F4A7C15)
+_INVERSE = pow(int(_STEP), -1, 2**64)
 _BYTE = np.random.default_rng(20240601).integers(0, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
 #: White space that ends a word: space and U+0009 to U+000D.
@@ -29,21 +29,23 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 
 
-@lru_cache(maxsize=4)
-def _powers(step: int, n: int) -> np.ndarray:
-    out = np.full(n, step, U)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+_TABLES: dict[int, np.ndarray] = {}
 
 
-def _pow2(n: int) -> int:
-    return 1 << max(12, int(n).bit_length())
+def _powers(step: int, n: int) -> np.ndarray:
+    """The first n powers of step; one table for each step is kept, the longest yet asked for."""
+    had = _TABLES.get(step)
+    if had is None or len(had) < n:
+        had = np.full(-(-max(n, 1) // (1 << 18)) << 18, step, U)
+        had[0] = 1
+        np.multiply.accumulate(had, out=had)
+        _TABLES[step] = had
+    return had[:n]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash multiplier and of its inverse."""
-    size = _pow2(n)
-    return _powers(int(_STEP), size)[:n], _powers(pow(int(_STEP), -1, 2**64), size)[:n]
+    return _powers(int(_STEP), n), _powers(_INVERSE, n)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

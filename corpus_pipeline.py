@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickmill.llm.common import scratch, ship, table
 from clickmill.llm.op3_decontamination import decontaminate
-from clickmill.llm.op7_sentencepiece import decode, encode
+from clickmill.llm.op7_sentencepiece import encode_and_decode
 from clickmill.llm.op8_suffix_array import suffix_array_text
 from clickmill.llm.op9_language_id import keep_languages
 from clickmill.llm.op10_jaccard_join import one_of_each
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_pieces and the text decoded from the ids."""
     ship(spark)
-    rows = decode(encode(docs.select("doc_id", "lang", "source", "text")))
+    rows = encode_and_decode(docs.select("doc_id", "lang", "source", "text"))
     return rows.select("doc_id", "lang", "source", F.col("decoded").alias("text"), "ids",
                        F.size("ids").cast("long").alias("n_pieces"))
 
