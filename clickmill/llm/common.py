@@ -55,15 +55,15 @@ def settle(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(docs: DataFrame, *columns: str) -> tuple[DataFrame, int]:
-    """Documents with a `doc_key` that no two rows share, and its step.
+def keyed(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, int]:
+    """doc_id, text and a `doc_key` that no two rows share, and the key's step; if `whole`, all columns as struct `row`.
 
     Where doc_id is unique, doc_key is doc_id and the step 1. Rows repeating an id are
     numbered by their text and doc_key is doc_id * step + number, so doc_key // step still
     orders by doc_id. A missing doc_id counts as one below the smallest.
     """
     wanted = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
-                         *[c for c in columns if c in docs.columns])
+                         *([F.struct(*docs.columns).alias("row")] if whole else []))
     ids = wanted.groupBy("doc_id").count().agg(
         F.max("count").alias("copies"), F.min("doc_id").alias("low"),
         F.max(F.col("doc_id").isNull()).alias("missing")).first()

@@ -330,8 +330,8 @@ def one_of_each(docs: DataFrame, width: int = STAGE_WIDTH, percent: int = STAGE_
     """Of each group of linked documents the row whose doc_id is smallest; documents without shingles all stay."""
     found = jaccard_components(docs, width, percent)
     gone = found.where("doc_key <> component_key").select("doc_key")
-    rows, _ = keyed(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return rows.join(gone, "doc_key", "left_anti").select(*docs.columns)
+    rows, _ = keyed(docs, whole=True)
+    return rows.select("doc_key", "row").join(gone, "doc_key", "left_anti").select("row.*")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,15 +188,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -
     cut_rows = found.mapInArrow(cut, f"row {own.schema['row'].dataType.simpleString()}, cut string, left_over boolean")
     changed = {"text": F.when(F.col("row.text").isNotNull(), F.col("cut"))}
     if "n_chars" in columns:
-        changed["n_chars"] = F.when(F.col("row.text") == F.col("cut"), F.col("row.n_chars")).otherwise(F.length("cut")).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("row.text").isNull() | (F.col("row.text") == F.col("cut")), F.col("row.n_chars")).otherwise(F.length("cut")).cast(docs.schema["n_chars"].dataType)
     return cut_rows.where("left_over").select(*(changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in columns))
 
 
-def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
+    found = hits(docs.select("doc_id", "text"), benchmark)
     n_hit = F.aggregate(F.transform("spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda s, x: s + x)
-    found = hits(docs, table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")).cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

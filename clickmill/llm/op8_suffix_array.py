@@ -69,15 +69,15 @@ def suffix_array_text(docs: DataFrame, length: int = PASSAGE_WORDS, gram: int =
     unchanged, white space included; else the words left are joined by one space. A document
     nothing of which is left goes.
     """
-    columns = docs.columns
-    rows, step = keyed(docs, *[c for c in columns if c not in ("doc_id", "text")])
+    rows, step = keyed(docs, whole=True)
     search = Search(length, gram, words=True, across=False, step=step)
-    had = rows.withColumn("had", F.col("text").isNotNull())
-    cut = with_spans(had, search, _cut_words, "text string, left_over boolean")
-    out = cut.where(F.col("left_over")).withColumn("text", F.when(F.col("had"), F.col("text")))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    cut = with_spans(rows.drop("doc_id"), search, _cut_words, "cut string, left_over boolean").where(F.col("left_over"))
+    had = F.col("row.text").isNotNull()
+    changed = {"text": F.when(had, F.col("cut"))}
+    if "n_chars" in docs.columns:
+        same = ~had | (F.col("row.text") == F.col("cut"))
+        changed["n_chars"] = F.when(same, F.col("row.n_chars")).otherwise(F.length("cut")).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*(changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
