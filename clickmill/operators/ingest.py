@@ -28,7 +28,7 @@ def decode_payload(df: DataFrame, col: str = "data") -> DataFrame:
 
 def parse_payload(df: DataFrame, col: str = "payload") -> DataFrame:
     """Add ``record`` as VARIANT, NULL where the text is not JSON, and typed ``event``."""
-    return df.withColumns({"record": F.try_parse_json(col), "event": P.typed(col)})
+    return df.withColumns({"record": P.record_of(col), "event": P.typed(col)})
 
 
 def _settle(reason: Column, name: str) -> Column:
@@ -42,8 +42,14 @@ def _settle(reason: Column, name: str) -> Column:
 
 
 def _unpacked(df: DataFrame) -> DataFrame:
-    if "record" not in df.columns:
-        df = parse_payload(df)
+    """Typed values and JSON kinds; records that are sound at sight are not parsed to VARIANT."""
+    flag = P.helper("sound")
+    if "record" in df.columns:
+        df = df.withColumn(flag, F.lit(False))
+    else:
+        typed = df.withColumn("event", P.typed("payload"))
+        settled = typed.select("*", _settle(P.sound(F.col("payload"), F.col("event")), flag))
+        df = settled.withColumn("record", F.when(~F.col(flag), P.record_of("payload")))
     return df.select("*", *P.unpack(F.col("payload"), F.col("record"), F.col("event")))
 
 
@@ -58,7 +64,8 @@ def with_rejection_reason(
     """
     r, unpacked = P.unpacked(), _unpacked(df)
     carried = [c for c in unpacked.columns if not c.startswith(P.helper(""))]
-    shape = F.when(F.col("record").isNull(), F.lit(C.UNPARSEABLE)).otherwise(P.shape_reason(r))
+    shape = F.when(F.col(P.helper("sound")), F.lit(None)).otherwise(
+        F.when(F.col("record").isNull(), F.lit(C.UNPARSEABLE)).otherwise(P.shape_reason(r)))
     content = P.content_reason(r, as_instant(now), tolerance_seconds)
     shaped = unpacked.select("*", _settle(shape, "_shape"))
     return shaped.select(

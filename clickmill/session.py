@@ -10,6 +10,10 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Of a repeated JSON key the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Timestamps with statistics that filters can skip row groups by.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Recording the Python line of every column call costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -101,55 +101,119 @@ def zulu(column: str) -> Column:
     return F.concat(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
-def defect_class() -> Column:
-    """0..5 for a row that is to be damaged, NULL for a sound one."""
-    return F.when(F.col("src_id") % 20 == 3, F.floor(F.col("src_id") / 20) % 6)
+# One damage per reason code: JSON text put in place of a field (None leaves it out), and the
+# reason that follows. A damage of the whole record replaces the payload.
+DAMAGES: list[tuple[dict[str, str | None], str]] = [
+    ({"device": None}, "missing_fields:device"),
+    ({"event_type": '"wish_list"'}, "invalid_event_type:wish_list"),
+    ({"event_type": '"purchase"', "product_id": "733", "price": "-0.0005"}, "anomaly_price_too_low:-0.0005"),
+    ({"user_id": '"n/a"'}, "user_id_not_integer"),
+    ({"event_time": '"2088-02-29T06:07:08+00:00"'}, "anomaly_future_timestamp"),
+    ({"event_type": '"login"', "product_id": None, "price": "12.5"}, "anomaly_login_has_price"),
+    ({"event_type": '"logout"', "product_id": None, "price": "8.75"}, "anomaly_logout_has_price"),
+    ({"event_id": '"tiny"'}, "invalid_event_id_format"),
+    ({"event_time": '"half past ten"'}, "invalid_event_time_format"),
+    ({"event_type": "17"}, "event_type_not_string"),
+    ({"device": "true"}, "device_not_string"),
+    ({"country": "[1]"}, "country_not_string"),
+    ({"product_id": '"n/a"'}, "product_id_not_integer"),
+    ({"price": '"free"'}, "price_not_numeric"),
+    ({"device": '"kiosk"'}, "invalid_device:kiosk"),
+    ({"country": '"ZZ"'}, "invalid_country:ZZ"),
+    ({"event_type": '"add_to_cart"', "product_id": "734", "price": "1e17"}, "anomaly_price_too_high:1e+17"),
+    ({"user_id": "100000000000000000000"}, "anomaly_user_id_out_of_range:100000000000000000000"),
+    ({"event_type": '"purchase"', "product_id": None, "price": "15.25"}, "anomaly_purchase_missing_product_id"),
+    ({"event_type": '"purchase"', "product_id": "735", "price": None}, "anomaly_purchase_missing_price"),
+    ({"*": '"no record"'}, "record_is_not_dict"),
+]
+FAMILIES = ("schema", "type", "enum", "anomaly")
+
+
+def family_of(reason: str) -> str:
+    if reason.startswith("missing") or reason == "record_is_not_dict":
+        return "schema"
+    return "anomaly" if reason.startswith("anomaly") else "enum" if ":" in reason else "type"
+
+
+def damage() -> Column:
+    """Number of the damage done to a row, -1 for a sound one."""
+    return F.when(F.col("src_id") % 20 == 3, F.floor(F.col("src_id") / 20) % len(DAMAGES)).otherwise(-1)
 
 
 def retail_raw(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
-    """Events as JSON text, about one in twenty damaged in one of six ways.
+    """Events as JSON text, one in twenty damaged in one of the ways above.
 
     ``carry`` names event columns to keep beside the payload.
     """
-    cls = F.coalesce(defect_class(), F.lit(-1))
-    nothing = F.lit(None)
-    e = retail_events(spark, sf_dir).withColumn("cls", cls)
-    c = F.col("cls")
-    event_type = (
-        F.when(c == 0, nothing).when(c == 1, "invalid_click_event").when(c == 2, "purchase")
-        .when(c == 5, "login").otherwise(F.col("event_type"))
-    )
-    fields = {
-        "event_id": F.col("event_id"),
-        "event_time": F.when(c == 4, "2099-12-31T23:59:59+00:00").otherwise(zulu("event_time")),
-        "user_id": F.col("user_id"),
-        "event_type": event_type,
-        "product_id": F.when(c == 2, 1001).when(c == 5, nothing).otherwise(F.col("product_id")),
-        "price": F.when(c == 2, -50.25).when(c == 5, 29.99).otherwise(F.col("price").cast("double")),
-        "device": F.col("device"),
-        "country": F.col("country"),
-    }
-    mistyped = {**fields, "user_id": F.lit("not_a_number")}
-
-    def text(parts: dict[str, Column]) -> Column:
-        return F.to_json(F.struct(*[v.alias(n) for n, v in parts.items()]))
-
-    payload = F.when(c == 3, text(mistyped)).otherwise(text(fields))
+    e = retail_events(spark, sf_dir).withColumn("cls", damage())
+    number = {c: F.col(c).cast("string") for c in ("user_id", "product_id")}
+    number["price"] = F.col("price").cast("double").cast("string")
+    text = {c: F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in ("event_id", "event_type", "device", "country")}
+    text["event_time"] = F.concat(F.lit('"'), zulu("event_time"), F.lit('"'))
+    fields = []
+    for field in ("event_id", "event_time", "user_id", "event_type", "product_id", "price", "device", "country"):
+        value = {**number, **text}[field]
+        for cls, (changes, _) in enumerate(DAMAGES):
+            if field in changes:
+                value = F.when(F.col("cls") == cls, F.lit(changes[field])).otherwise(value)
+        fields.append(F.concat(F.lit(f'"{field}":'), value))
+    payload = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    for cls, (changes, _) in enumerate(DAMAGES):
+        if "*" in changes:
+            payload = F.when(F.col("cls") == cls, changes["*"]).otherwise(payload)
     return e.select("src_id", *carry, payload.alias("payload"))
 
 
-# The reason follows from the damage, so the oracle needs no JSON at all.
-RAW_SQL = RETAIL_SQL + """,
+def _typed_sql(field: str, sound: str, number: bool = False) -> str:
+    """The typed value of a field after the damage: text as it is, what is no number NULL."""
+    cases = []
+    for cls, (changes, _) in enumerate(DAMAGES):
+        if "*" in changes or changes.get(field, "") is None:
+            cases.append(f"WHEN {cls} THEN NULL")
+        elif field in changes:
+            raw = changes[field]
+            good = not number or not raw.startswith('"') and len(raw) < 19
+            shown = raw if number else "'" + raw.strip('"') + "'"
+            cases.append(f"WHEN {cls} THEN {shown if good else 'NULL'}")
+    return f"CASE cls {' '.join(cases)} ELSE {sound} END" if cases else sound
+
+
+def _present_sql(field: str) -> str:
+    """Whether the record names the field with a value of any kind."""
+    cases = " ".join(f"WHEN {cls} THEN {'*' not in changes and changes.get(field) is not None}"
+                     for cls, (changes, _) in enumerate(DAMAGES) if "*" in changes or field in changes)
+    return f"CASE cls {cases} ELSE {field} IS NOT NULL END"
+
+
+def _reasons_sql(family: str) -> str:
+    return " ".join(f"WHEN cls = {cls} THEN '{reason}'" for cls, (_, reason) in enumerate(DAMAGES) if family_of(reason) == family)
+
+
+_ISO_SQL = "strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
+
+# The reason follows from the damage and the values it leaves, so the oracle needs no JSON at all.
+RAW_SQL = RETAIL_SQL + f""",
+retail_damaged AS (
+  SELECT *, {_typed_sql('event_id', 'event_id')} AS q_event_id, {_typed_sql('event_time', _ISO_SQL)} AS q_event_time,
+         CAST({_typed_sql('user_id', 'user_id', True)} AS INTEGER) AS q_user_id,
+         {_typed_sql('event_type', 'event_type')} AS q_event_type,
+         CAST({_typed_sql('product_id', 'product_id', True)} AS INTEGER) AS q_product_id,
+         {_typed_sql('price', 'CAST(price AS DOUBLE)', True)} AS q_price,
+         {_typed_sql('device', 'device')} AS q_device, {_typed_sql('country', 'country')} AS q_country,
+         {_present_sql('product_id')} AS has_product, {_present_sql('price')} AS has_price
+  FROM (SELECT *, CASE WHEN src_id % 20 = 3 THEN (src_id // 20) % {len(DAMAGES)} ELSE -1 END AS cls FROM retail_events)),
+retail_families AS (
+  SELECT *, CASE {_reasons_sql('schema')} END AS schema_reason,
+    CASE {_reasons_sql('type')} WHEN q_event_id IS NULL THEN 'invalid_event_id_format'
+         WHEN q_device IS NULL THEN 'device_not_string' END AS type_reason,
+    CASE {_reasons_sql('enum')} WHEN q_event_type IS NULL OR q_event_type = '17' THEN 'invalid_event_type:' || coalesce(q_event_type, '')
+         WHEN q_device IS NULL OR q_device = 'true' THEN 'invalid_device:' || coalesce(q_device, '')
+         WHEN q_country = '[1]' THEN 'invalid_country:[1]' END AS enum_reason,
+    CASE WHEN q_price = 0 THEN 'anomaly_price_too_low:0.0' {_reasons_sql('anomaly')}
+         WHEN q_event_type IN ('login', 'logout') AND has_price THEN 'anomaly_' || q_event_type || '_has_price' END AS anomaly_reason
+  FROM retail_damaged),
 retail_reasons AS (
-  SELECT *, CASE
-    WHEN cls = 0 THEN 'missing_fields:event_type'
-    WHEN cls = 1 THEN 'invalid_event_type:invalid_click_event'
-    WHEN cls = 2 THEN 'anomaly_price_too_low:-50.25'
-    WHEN cls = 3 THEN 'user_id_not_integer'
-    WHEN cls IS DISTINCT FROM 5 AND price = 0 THEN 'anomaly_price_too_low:0.0'
-    WHEN cls = 4 THEN 'anomaly_future_timestamp'
-    WHEN cls = 5 THEN 'anomaly_login_has_price' END AS rejection_reason
-  FROM (SELECT *, CASE WHEN src_id % 20 = 3 THEN (src_id // 20) % 6 END AS cls FROM retail_events))"""
+  SELECT *, coalesce(schema_reason, type_reason, enum_reason, anomaly_reason) AS rejection_reason FROM retail_families)"""
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +221,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickmill.operators.ingest import route, with_rejection_reason
 
     bad = route(with_rejection_reason(retail_raw(spark, sf_dir), NOW), INGESTED).quarantined
-    unnamed = (F.col("event_type") == "invalid_click_event") & (F.col("device") == "tablet")
+    unnamed = (F.col("event_type") == "wish_list") & (F.col("device") == "tablet")
     reason = F.when(~F.coalesce(unnamed, F.lit(False)), F.col("rejection_reason"))
     return bad.drop("payload").withColumns(
         {"rejection_reason": reason, "ingestion_timestamp": F.lit(None).cast("string")}
@@ -166,16 +230,10 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUARANTINE_SQL = RAW_SQL + """,
 quarantine AS (
-  SELECT src_id, event_id, event_date,
-         CASE WHEN cls = 4 THEN '2099-12-31T23:59:59+00:00'
-              ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS event_time,
-         CASE WHEN cls = 3 THEN NULL ELSE user_id END AS user_id,
-         CASE cls WHEN 0 THEN NULL WHEN 1 THEN 'invalid_click_event' WHEN 2 THEN 'purchase'
-              WHEN 5 THEN 'login' ELSE event_type END AS event_type,
-         CASE cls WHEN 2 THEN 1001 WHEN 5 THEN NULL ELSE product_id END AS product_id,
-         CAST(CASE cls WHEN 2 THEN -50.25 WHEN 5 THEN 29.99 ELSE price END AS DOUBLE) AS price,
-         device, country,
-         CASE WHEN cls = 1 AND device = 'tablet' THEN NULL ELSE rejection_reason END AS rejection_reason
+  SELECT src_id, q_event_id AS event_id, event_date, q_event_time AS event_time, q_user_id AS user_id,
+         q_event_type AS event_type, q_product_id AS product_id, CAST(q_price AS DOUBLE) AS price,
+         q_device AS device, q_country AS country,
+         CASE WHEN q_event_type = 'wish_list' AND q_device = 'tablet' THEN NULL ELSE rejection_reason END AS rejection_reason
   FROM retail_reasons WHERE rejection_reason IS NOT NULL)"""
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fixtures import (
-    AUDIT_SQL, BRONZE_SQL, HISTORY_SQL, LINEAGE_SQL, LOG_SQL, PIPELINE_SQL, QUARANTINE_SQL,
+    AUDIT_SQL, BRONZE_SQL, FAMILIES, HISTORY_SQL, LINEAGE_SQL, LOG_SQL, PIPELINE_SQL, QUARANTINE_SQL,
     RAW_SQL, REGION_SQL, RETAIL_SQL, SESSION_SQL,
 )
 
@@ -147,8 +147,9 @@ ORACLES["date_spine"] = sql(RETAIL_SQL, """SELECT CAST(date_key AS VARCHAR) AS d
   LEFT JOIN (SELECT event_date AS date_key, count(*) AS purchase_count FROM retail_events
              WHERE event_type = 'purchase' AND price IS NOT NULL GROUP BY 1) USING (date_key)""")
 ORACLES["literal_rows"] = sql(RETAIL_SQL, f"""SELECT {EVENT}, CAST(NULL AS VARCHAR) AS session_id FROM retail_events
-  UNION ALL SELECT * FROM (VALUES ('evt-new-1', 101, 'purchase', 42, 99.99::DOUBLE, 'mobile', 'US', 'sess-a'),
-  ('evt-new-2', 102, 'product_view', 43, NULL, 'desktop', 'IN', 'sess-b'))""")
+  UNION ALL SELECT * FROM (VALUES ('added-row-a', 880001, 'logout', NULL::INTEGER, NULL::DOUBLE, 'tablet', 'MY', 'visit-7'),
+  ('added-row-b', 880002, 'add_to_cart', 905, 3.5::DOUBLE, 'mobile', 'TH', 'visit-8'),
+  ('added-row-c', 880003, 'login', NULL, NULL, 'desktop', 'SG', NULL))""")
 ORACLES["insert_missing"] = sql(REGION_SQL, """SELECT user_id, region FROM user_regions UNION ALL
   SELECT DISTINCT user_id, 'UNKNOWN' FROM retail_events WHERE user_id NOT IN (SELECT user_id FROM user_regions)""")
 ORACLES["refresh_if_stale"] = sql(
@@ -157,16 +158,8 @@ ORACLES["refresh_if_stale"] = sql(
 # --- ingestion quality -------------------------------------------------------
 ORACLES["decode_payload"] = sql(RETAIL_SQL, """SELECT src_id, device <> 'tablet' AS is_json,
   CASE WHEN device <> 'tablet' THEN event_id END AS event_id FROM retail_events""")
-ORACLES["schema_reason"] = sql(RAW_SQL, """SELECT src_id,
-  CASE WHEN cls = 0 THEN 'missing_fields:event_type' END AS reason FROM retail_reasons""")
-ORACLES["type_reason"] = sql(RAW_SQL, """SELECT src_id, CASE cls WHEN 0 THEN 'event_type_not_string'
-  WHEN 3 THEN 'user_id_not_integer' END AS reason FROM retail_reasons""")
-ORACLES["enum_reason"] = sql(RAW_SQL, """SELECT src_id, CASE cls WHEN 0 THEN 'invalid_event_type:'
-  WHEN 1 THEN 'invalid_event_type:invalid_click_event' END AS reason FROM retail_reasons""")
-ORACLES["anomaly_reason"] = sql(RAW_SQL, """SELECT src_id, CASE WHEN cls = 2 THEN 'anomaly_price_too_low:-50.25'
-  WHEN cls IS DISTINCT FROM 5 AND price = 0 THEN 'anomaly_price_too_low:0.0'
-  WHEN cls = 4 THEN 'anomaly_future_timestamp' WHEN cls = 5 THEN 'anomaly_login_has_price' END AS reason
-  FROM retail_reasons""")
+for _family in FAMILIES:
+    ORACLES[f"{_family}_reason"] = sql(RAW_SQL, f"SELECT src_id, {_family}_reason AS reason FROM retail_reasons")
 ORACLES["with_rejection_reason"] = sql(RAW_SQL, "SELECT src_id, rejection_reason FROM retail_reasons")
 ORACLES["enrich"] = sql(RAW_SQL, """SELECT src_id, '2024-03-01T00:00:00+00:00' AS ingestion_timestamp,
   '2024-03-01' AS processing_date FROM retail_reasons WHERE rejection_reason IS NULL""")
@@ -231,7 +224,7 @@ ORACLES["to_fact"] = sql(RETAIL_SQL, f"""SELECT {EVENT}, event_time, CAST(event_
   ingestion_timestamp FROM retail_events""")
 ORACLES["bronze_to_silver"] = sql(BRONZE_SQL, f"""SELECT {EVENT}, event_time, ingestion_timestamp, {PARTS}
   FROM ({pick('retail_bronze', 'first')})""")
-ORACLES["stream_route"] = sql(RAW_SQL, """SELECT event_id,
+ORACLES["stream_route"] = sql(RAW_SQL, """SELECT q_event_id AS event_id,
   CASE WHEN rejection_reason IS NULL THEN 'bronze' ELSE 'quarantine' END AS "route", rejection_reason FROM retail_reasons""")
 ORACLES["recover_quarantine"] = sql(QUARANTINE_SQL, f"""SELECT event_type,
   CASE WHEN rejection_reason IN {_REPAIRABLE} THEN 'bronze' ELSE 'dead_letter' END AS "route", count(*) AS "rows"
@@ -351,7 +344,7 @@ ORACLES["hash_mask"] = sql(
 ORACLES["mask_user_id"] = sql(RETAIL_SQL, """SELECT event_id, CAST(user_id AS VARCHAR) AS engineer_sees,
   '***-MASKED-***' AS analyst_sees FROM retail_events""")
 ORACLES["row_security"] = sql(RETAIL_SQL, """SELECT country, count(*) AS "rows", viewer FROM retail_events
-  JOIN (VALUES ('us_manager', 'US'), ('us_manager', 'CA'), ('uk_manager', 'GB'), ('global_vp', 'ALL'), ('root', 'ALL'))
+  JOIN (VALUES ('ana', 'BR'), ('ana', 'AU'), ('ben', 'JP'), ('chief', 'ALL'), ('root', 'ALL'))
   AS g(viewer, code) ON code = country OR code = 'ALL' GROUP BY country, viewer""")
 
 # --- operational logs --------------------------------------------------------

@@ -238,8 +238,9 @@ def literal_rows(spark, sf_dir):
         device="string", country="string", session_id="string",
     )
     rows = [
-        ("evt-new-1", 101, "purchase", 42, Decimal("99.99"), "mobile", "US", "sess-a"),
-        ("evt-new-2", 102, "product_view", 43, None, "desktop", "IN", "sess-b"),
+        ("added-row-a", 880001, "logout", None, None, "tablet", "MY", "visit-7"),
+        ("added-row-b", 880002, "add_to_cart", 905, Decimal("3.50"), "mobile", "TH", "visit-8"),
+        ("added-row-c", 880003, "login", None, None, "desktop", "SG", None),
     ]
     return merge.append_evolving(base, spark.createDataFrame(rows, schema), merge_schema=True)
 
@@ -398,7 +399,7 @@ def stream_to_silver(spark, sf_dir):
     rows = wire_rows(X.retail_bronze(spark, sf_dir))
     first, second = rows.filter(F.col("device") != "tablet"), rows.filter(F.col("device") != "mobile")
     for delivery in (first, second):
-        delivery.coalesce(1).write.mode("append").json(landing)
+        delivery.write.mode("append").json(landing)
         streams.stream_to_silver(spark, landing, target, checkpoint)
     return spark.read.parquet(target).select(*EVENT_COLUMNS, "event_time", "ingestion_timestamp")
 
@@ -566,12 +567,12 @@ def mask_user_id(spark, sf_dir):
 
 def row_security(spark, sf_dir):
     grants = spark.createDataFrame(
-        [("us_manager", "US"), ("us_manager", "CA"), ("uk_manager", "GB"), ("global_vp", "ALL")],
+        [("ana", "BR"), ("ana", "AU"), ("ben", "JP"), ("chief", "ALL")],
         "user_name STRING, country_code STRING",
     )
     events = X.retail_events(spark, sf_dir).select("event_id", "country")
     seen = None
-    for user, role in (("us_manager", "BI"), ("uk_manager", "BI"), ("global_vp", "BI"),
+    for user, role in (("ana", "BI"), ("ben", "BI"), ("chief", "BI"),
                        ("nobody", "BI"), ("root", "ACCOUNTADMIN")):
         rows = governance.row_security(events, grants, user, role).groupBy("country").agg(
             F.count("*").alias("rows")).withColumn("viewer", F.lit(user))
