@@ -39,7 +39,7 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     context.addPyFile(path)
     if spark.conf.get(BATCH_LIMIT, None) is None:
-        spark.conf.set(BATCH_LIMIT, "32m")
+        spark.conf.set(BATCH_LIMIT, "16m")
     _SHIPPED.add(context.applicationId)
 
 

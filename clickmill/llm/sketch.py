@@ -22,6 +22,8 @@ from .windows import mix
 #: Largest number of cells of a row, as a power of two: 16 MB of bits.
 MAX_BITS = 27
 _SCHEMA = "block int, cells binary"
+#: Keys that a task gathers before it sends them on.
+_HELD = 1_500_000
 
 
 def bits_for(expected: int, most: int = MAX_BITS) -> int:
@@ -54,22 +56,30 @@ class Sketch:
 
 
 def _partial(keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], rows: int, bits: int):
+    def packed(keys: np.ndarray, row: int) -> pa.RecordBatch:
+        cells = _cells(keys, row, bits)
+        cells.sort()
+        block = (cells >> 16).astype(np.int32)
+        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        low = (cells & 0xFFFF).astype(np.uint16)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[edges[:-1]] + np.int32(row * (1 << bits >> 16))),
+             pa.array([low[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())], ["block", "cells"])
+
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in incoming:
-            found = [*keys_of(batch)]
-            if not found:
-                continue
-            keys = np.concatenate(found)
-            for row in range(rows):
-                cells = np.sort(_cells(keys, row, bits))
-                block = cells >> 16
-                edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(cells) else [0]
-                low = (cells & 0xFFFF).astype(np.uint16)
-                if len(edges) > 1:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((block[edges[:-1]] + row * (1 << bits >> 16)).astype(np.int32)),
-                         pa.array([low[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
-                        ["block", "cells"])
+            for keys in keys_of(batch):
+                held.append(keys)
+                size += len(keys)
+                if size >= _HELD:
+                    whole = np.concatenate(held)
+                    held, size = [], 0
+                    yield from (packed(whole, row) for row in range(rows))
+        if size:
+            whole = np.concatenate(held)
+            yield from (packed(whole, row) for row in range(rows))
     return run
 
 
