@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -78,8 +79,18 @@ def keyed(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, int]:
     return wanted.withColumn("doc_key", key), step
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets of a string column; a missing text is empty."""
+    _give_back()
     flat = pc.fill_null(column.cast(pa.large_string()), "")
     start, n = flat.offset, len(flat)
     offsets = np.frombuffer(flat.buffers()[1], np.int64)[start:start + n + 1] if n else np.zeros(1, np.int64)

@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index of every training shard.
 
-A shard is a few MB of neighbouring documents in a task. Its words become symbols of the
+A shard is a MB of neighbouring documents in a task. Its words become symbols of the
 benchmark's vocabulary; stretches of benchmark words long enough to hold a phrase, that is
 all places where one can occur, are indexed: suffix array, Burrows-Wheeler transform,
 wavelet-tree ranks and sampled positions. Every phrase is searched backward in every index,
@@ -34,7 +34,7 @@ from .windows import slices, word_units
 
 LENGTH = 10
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 #: Bytes that are no part of a word, before A-Z are lower-cased.
 NO_WORD = np.zeros(256, bool)

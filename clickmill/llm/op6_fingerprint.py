@@ -109,8 +109,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", as_text(tree(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("fingerprint"))
 
 
-def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_next(table(spark, sf_dir, "documents"))
+def judged(docs: DataFrame) -> DataFrame:
+    """Fingerprints of every text, of its edited text, and how like they and the next document's are."""
+    rows = with_next(docs)
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.left("text", n - cut), F.left("following", cut)))
@@ -119,3 +120,7 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("node")).alias("fingerprint"), as_text(F.col("edit")).alias("edited_fingerprint"),
         likeness(F.col("node"), F.col("edit")).alias("near_edited"), likeness(F.col("node"), F.col("after")).alias("near_next"))
+
+
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"))

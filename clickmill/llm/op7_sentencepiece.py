@@ -12,7 +12,7 @@ one) is read by Zipf's law: the score of rank r is -ln(r + 1) - ln(sum of 1 / (i
 
 Pieces have markers at their beginning only, so no piece crosses from a character into a
 marker: a text is a row of chunks that are cut on their own. A task cuts each distinct chunk
-of about 2 MB once, all chunks in step. The vocabulary is broadcast: MAX_PIECES bounds it.
+of a MB once, all chunks in step. The vocabulary is broadcast: MAX_PIECES bounds it.
 
  - A missing or empty text has no pieces and decodes to the empty text.
  - Rows are treated one by one; repeated or missing ids keep a row each. An empty table

@@ -230,11 +230,11 @@ def align(a: list, b: list) -> list:
 
 
 def matched(kids: list, wrapper: list | None) -> list:
-    """The part of the wrapper for each kid (element or text) of a page's element, None where it has none."""
+    """For each kid (element or text) of a page's element its part of the wrapper and whether all pages have that; None without one."""
     parts = []
     for sign, part in wrapper[1] if wrapper else ():
         for s, p in part[1] if part[0] == "()" else [(sign, part)]:
-            parts.append((p[0], p))
+            parts.append((p[0], p, sign in "1+" and s in "1+"))
     out, at = [], 0
     for kid in kids:
         label = ("#a" if kid[1] else "#") if kid.__class__ is list else kid.label
@@ -243,7 +243,7 @@ def matched(kids: list, wrapper: list | None) -> list:
             found = next((k for k in range(at) if parts[k][0] == label), None)
         else:
             at = found
-        out.append(None if found is None else parts[found][1])
+        out.append((None, False) if found is None else parts[found][1:])
     return out
 
 
@@ -251,22 +251,24 @@ def blocks(root: Node, wrapper: list | None, shared: bool) -> list[str]:
     """Texts of the article's blocks in page order.
 
     The article is what lies in an article or main element, less furniture; on a page
-    without one, all that is no furniture, no list of links and, if `shared` (the wrapper
-    stands for several pages), no text that all pages of the host have in common.
+    without one, all that is no furniture, no link and, if `shared` (the wrapper stands for
+    several pages), no text that all pages of the host have in common; and where that
+    leaves nothing, all that is no furniture.
     """
-    found: list[tuple[bool, str]] = []
+    found: list[tuple[int, str]] = []
 
-    def walk(node: Node, part: list | None, content: bool) -> None:
+    def walk(node: Node, part: list | None, content: bool, everywhere: bool) -> None:
         content = content or node.tag in CONTENT
-        for kid, own in zip(node.kids, matched(node.kids, part)):
+        for kid, (own, always) in zip(node.kids, matched(node.kids, part)):
+            always = always and everywhere
             if kid.__class__ is list:
                 text = " ".join(kid[0].split())
-                fixed = shared and own is not None and own[1] is not None
-                if text and (content or not (fixed or kid[1])):
-                    found.append((content, text))
+                fixed = shared and always and own[1] is not None
+                if text:
+                    found.append((0 if content else 2 if fixed or kid[1] else 1, text))
             elif not kid.furniture:
-                walk(kid, own, content)
+                walk(kid, own, content, always)
 
-    walk(root, wrapper, False)
-    inner = [text for content, text in found if content]
-    return inner or [text for _, text in found]
+    walk(root, wrapper, False, True)
+    best = min((rank for rank, _ in found), default=0)
+    return [text for rank, text in found if rank == best]

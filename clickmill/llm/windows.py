@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U = np.uint64
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 SEGMENT_UNITS = 1 << 21
 _INDEX = U((1 << 22) - 1)
 _STEP = U(0x9E3779B97F4A7C15)
