@@ -54,6 +54,12 @@ def typed(payload: str) -> Column:
     return F.from_json(F.col(payload), TYPED)
 
 
+def _apart(work, wanted: Column, value: Column | None = None) -> Column:
+    """work(value) for the rows where it is wanted, in a step of its own."""
+    held = F.array(F.lit(0) if value is None else value)
+    return F.when(wanted, F.element_at(F.transform(held, work), 1))
+
+
 def sound(payload: Column, event: Column) -> Column:
     """True where the typed parse alone shows a flat record of the right types and ranges.
 
@@ -63,14 +69,14 @@ def sound(payload: Column, event: Column) -> Column:
     """
     def left_out(field: str) -> Column:
         name = f'"{field}"'
-        return event[field].isNull() & (~payload.contains(name) | payload.rlike(rf"{name}\s*:\s*null\s*[,}}]"))
+        return event[field].isNull() & (~payload.contains(name) | payload.rlike(rf"{name}\s*:\s*null\s*[,\x7D]"))
 
     names = F.length(payload) - F.length(F.replace(payload, F.lit('":'), F.lit("")))
     wanted = sum((F.when(payload.contains(f'"{f}"'), 2).otherwise(0) for f in ("product_id", "price")),
                  F.lit(2 * len(C.REQUIRED_FIELDS)))
     return F.coalesce(
         (names == wanted)  # so no name is repeated
-        & payload.rlike(r"^\s*\{[^{}\\\\]*\}\s*$")
+        & payload.rlike(r"^\s*\x7B[^\x7B\x7D\x5C]*\x7D\s*$")
         & event["event_id"].rlike(r"^[A-Za-z][\w-]{7,}$") & event["event_time"].rlike(C.TIMESTAMP_PATTERN)
         & event["user_id"].between(C.USER_ID_MIN, C.USER_ID_MAX)
         & event["event_type"].isin(*C.EVENT_TYPES) & event["device"].isin(*C.DEVICES) & event["country"].isin(*C.COUNTRIES)
@@ -91,8 +97,11 @@ def unpack(payload: Column, v: Column, event: Column) -> list[Column]:
     # Texts that few records need, worked out once and not inside each check.
     price = event["price"]
     odd = (price < C.PRICE_MIN) | (price > C.PRICE_MAX)
-    long = [big_integer(f).alias(helper(f"{f}_long")) for f in ("user_id", "product_id")]
-    shown = F.when(odd, number_text(json_kind(v, "price"), price)).alias(helper("price_text"))
+    # Inside a lambda they are interpreted: as generated code they would make the method too long to compile.
+    unsure = ~F.col(helper("sound"))
+    long = [_apart(lambda _: big_integer("user_id"), unsure).alias(helper("user_id_long")),
+            _apart(lambda _: big_integer("product_id"), unsure).alias(helper("product_id_long"))]
+    shown = _apart(lambda p: number_text(json_kind(v, "price"), p), odd, price).alias(helper("price_text"))
     return [payload.rlike(r"^\s*\{").alias(helper("is_object")), *kinds, *values, *long, shown]
 
 
@@ -174,8 +183,8 @@ def double_text(number: Column) -> Column:
     point = F.when(number == 0, F.lit(1)).otherwise(F.length(whole) + power - lead)
     size = F.length(digits)
     plain = (
-        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-        .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size), F.lit(".0")))
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), F.greatest(F.lit(0), -point)), digits))
+        .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), F.greatest(F.lit(0), point - size)), F.lit(".0")))
         .otherwise(F.concat(F.left(digits, point), F.lit("."), F.substring(digits, point + 1, size)))
     )
     exponent = point - 1

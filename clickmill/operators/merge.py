@@ -80,11 +80,13 @@ def change_feed(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return changed.select(*keys, F.inline(images)).select(*keys, "row.*", "_change_type")
 
 
-def _partition_text(columns: tuple[str, ...]) -> Column:
-    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
+def touched_predicate(columns: tuple[str, ...], values: list[tuple]) -> Column:
+    """Partition filter for a list of partition values, evaluated while listing files.
 
+    Values are compared one by one, a missing one only with a missing one.
+    """
+    def marked(value) -> str:
+        return "-" if value is None else f"={value}"
 
-def touched_predicate(columns: tuple[str, ...], values: list[tuple]) -> Column:
-    """Partition filter for a list of partition values, evaluated while listing files."""
-    wanted = ["/".join("NULL" if v is None else str(v) for v in row) for row in values]
-    return _partition_text(columns).isin(wanted)
+    own = F.array(*[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns])
+    return own.isin(*[F.array(*[F.lit(marked(v)) for v in row]) for row in values]) if values else F.lit(False)

@@ -23,6 +23,12 @@ def expect_or_drop(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [_holds(p) for p in rules.values()]))
 
 
+def failure(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Rows that fail a rule, with the name of the first one as ``rejection_reason``."""
+    reason = F.coalesce(*[F.when(~_holds(p), F.lit(name)) for name, p in rules.items()])
+    return df.withColumn("rejection_reason", reason).filter(F.col("rejection_reason").isNotNull())
+
+
 def expectation_counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """Passed and failed rows per rule, from a single aggregation over the input."""
     passed = df.agg(F.count("*").alias("_all"), *[

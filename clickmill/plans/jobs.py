@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import partial
 
 from pyspark import StorageLevel
@@ -11,83 +11,109 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill import schemas
-from clickmill.operators import dims, gold, merge, quality, silver
+from clickmill.operators import dims, gold, ingest, merge, quality, silver
 from clickmill.sources import files, readers, writers
-from clickmill.streaming.streams import clean_bronze
+from clickmill.streaming.streams import SILVER_RULES, clean_bronze, refused_bronze
 
 
-def bronze_to_silver(spark: SparkSession, bronze: str, dst: str) -> DataFrame:
-    """Batch run: type, drop incomplete rows, keep the earliest copy, replace partitions."""
-    rows = clean_bronze(readers.read_ndjson(spark, bronze, schemas.BRONZE))
-    unique = silver.dedup(rows, ["event_id"], "ingestion_timestamp", keep="first")
-    writers.write_partitions(unique, dst, schemas.PARTITION_COLUMNS)
+def bronze_to_silver(
+    spark: SparkSession, bronze: str, dst: str, quarantine: str | None = None, now: datetime | None = None,
+) -> DataFrame:
+    """Batch run: type, keep the earliest copy, replace partitions.
+
+    Rows that fail a silver expectation (no event id, no readable time) go to
+    ``quarantine`` if it is given, stamped ``now``.
+    """
+    raw = readers.read_ndjson(spark, bronze, schemas.BRONZE)
+    unique = silver.dedup(clean_bronze(raw), ["event_id"], "ingestion_timestamp", keep="first")
+    writers.staged_overwrite(unique, dst, schemas.PARTITION_COLUMNS)
+    if quarantine is not None:
+        writers.append_ndjson(refused_bronze(raw, now), quarantine, "_at")
     return readers.read_table(spark, dst, schemas.SILVER)
 
 
-def run_gold(
-    spark: SparkSession, silver_path: str, gold_dir: str, hwm_path: str, now: datetime,
-    overlap: timedelta = timedelta(hours=1),
-) -> bool:
-    """Re-aggregate every event date that received rows since the mark, then move it.
+def silver_expectations(spark: SparkSession, bronze: str) -> DataFrame:
+    """Passed and failed bronze rows per rule that silver expects to hold."""
+    raw = readers.read_ndjson(spark, bronze, schemas.BRONZE)
+    return quality.expectation_counts(silver.cast_types(raw), SILVER_RULES)
 
-    Arrival time drives the slice, so a late row brings back the whole day it
-    belongs to. ``overlap`` looks back a little behind the mark for rows that
-    became visible after it was taken. The mark moves only after every table is
-    written; repeating a run rewrites the same values. Returns False if nothing
-    arrived.
+
+def run_gold(spark: SparkSession, silver_path: str, gold_dir: str, hwm_path: str, now: datetime) -> bool:
+    """Re-aggregate every event date whose silver partition was replaced since the mark, then move it.
+
+    The mark is a version of the silver table, not a time: each write notes the partitions
+    it replaces under the next version, so a late row, a repaired one and one without an
+    arrival time bring back their whole day alike, and nothing of the table is read to find
+    them. The mark moves only after every table is written; repeating a run rewrites the
+    same values. Returns False if no partition changed.
     """
-    mark = writers.read_hwm(spark, hwm_path)
-    events = readers.read_table(spark, silver_path, schemas.SILVER)
-    arrived = F.col("ingestion_timestamp")
-    newest = gold.ingested_since(events, mark).agg(F.max(arrived).cast("string")).first()[0]
-    if newest is None:
+    mark = int(writers.read_hwm(spark, hwm_path, default="0"))
+    newest = writers.newest_version(spark, silver_path)
+    touched = writers.changed_partitions(spark, silver_path, mark, newest)
+    if not touched:
         return False
-    cols = schemas.PARTITION_COLUMNS
-    touched = writers.partition_values(gold.ingested_since(events, mark, overlap), cols)
-    days = events.filter(merge.touched_predicate(cols, touched)).select(
-        "event_time", "user_id", "event_type", "product_id", "price", "device"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for name, table in gold.GOLD_TABLES.items():
-            fresh = table.build(days).withColumn("processing_timestamp", F.lit(str(now)).cast("timestamp"))
-            # the date is part of every key, so a row never changes its partition
-            writers.upsert_path(
-                spark, f"{gold_dir}/{name}", fresh, table.keys, table.partitions, fixed_partition=True
-            )
-    finally:
-        days.unpersist()
-    writers.write_hwm(spark, hwm_path, newest, now)
+    events = readers.read_table(spark, silver_path, schemas.SILVER)
+    days = events.filter(merge.touched_predicate(schemas.PARTITION_COLUMNS, touched)).select(
+        "event_time", "user_id", "event_type", "product_id", "price", "device")
+    dates = [date(*map(int, v)) for v in touched if None not in v]
+    for name, table in gold.GOLD_TABLES.items():
+        fresh = table.build(days).withColumn("processing_timestamp", F.lit(str(now)).cast("timestamp"))
+        # the date is part of every key, so a row never changes its partition
+        writers.upsert_path(
+            spark, f"{gold_dir}/{name}", fresh, table.keys, table.partitions,
+            merge=partial(_replace_days, dates=dates), fixed_partition=True,
+            also=[(d,) for d in dates] if table.partitions else None,
+        )
+    writers.write_hwm(spark, hwm_path, str(newest), now)
     return True
 
 
+def _replace_days(target: DataFrame, source: DataFrame, keys: list[str], dates: list[date]) -> DataFrame:
+    """All source rows, plus the target rows of other days."""
+    return source.unionByName(target.filter(~F.col("event_date").isin(*dates)) if dates else target)
+
+
 def recover_quarantine(
     spark: SparkSession, quarantine: str, bronze: str, dead: str, mark_path: str, now: datetime
 ) -> DataFrame:
     """Repair what can be repaired back into bronze; the rest goes to the dead-letter table.
 
-    Each run takes the rows quarantined since the mark, so a repeated run finds
-    nothing new. If a run stops before the mark moves, its dead letters are not
-    written again, and events that reach bronze twice are one event in silver.
+    Each run takes the rows quarantined at or after the mark that no run has handled:
+    stamps have whole seconds and batches share them. Repaired rows carry ``now`` as their
+    arrival time, after the time repair has used their own. If a run stops before its rows
+    are noted as handled, its dead letters are not written again, and events that reach
+    bronze twice are one event in silver.
     """
     mark = writers.read_hwm(spark, mark_path)
     stamp = F.col("_quarantine_timestamp")
-    rejected = (
-        readers.read_ndjson(spark, quarantine, schemas.QUARANTINE)
-        .select(*schemas.QUARANTINE.names).filter(stamp.isNull() | (stamp > mark))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    since = stamp.isNull() | (stamp >= mark)
+    noted = f"{mark_path.rstrip('/')}__handled"
+    rejected = readers.read_ndjson(spark, quarantine, schemas.QUARANTINE).select(*schemas.QUARANTINE.names).filter(since)
+    print_of = [F.xxhash64(*schemas.QUARANTINE.names).alias("h1"), F.hash(*schemas.QUARANTINE.names).alias("h2")]
+    rejected = rejected.select("*", *print_of)
+    if files.is_table(spark, noted):
+        known = spark.read.parquet(noted).filter(since).select("h1", "h2").distinct()
+        rejected = rejected.join(known, ["h1", "h2"], "left_anti")
+    rejected = rejected.persist(StorageLevel.MEMORY_AND_DISK)
     newest = rejected.agg(F.max(stamp)).first()[0]
-    fixed = quality.recovered(rejected).drop("_quarantine_timestamp")
+    rows = rejected.drop("h1", "h2")
+    fixed = quality.recovered(rows).drop("_quarantine_timestamp").withColumn(
+        "ingestion_timestamp", ingest.iso_text(ingest.as_instant(now)))
     writers.append_ndjson(fixed.withColumn("_at", F.lit(str(now)).cast("timestamp")), bronze, "_at")
-    lost = quality.dead_letter(rejected, now)
+    lost = quality.dead_letter(rows, now)
     if files.is_table(spark, dead):
-        known = readers.read_table(spark, dead).filter(stamp.isNull() | (stamp > mark))
+        known = readers.read_table(spark, dead).filter(since)
         same = [lost[c].eqNullSafe(known[c]) for c in schemas.QUARANTINE.names]
         lost = lost.join(known, same, "left_anti")
     writers.append_table(lost, dead)
+    summary = quality.recovery_summary(rows)
+    # Before the rows are noted as handled: a write refreshes what is kept of its table's readers.
+    found = spark.createDataFrame(summary.collect(), summary.schema)
+    writers.append_table(rejected.select("_quarantine_timestamp", "h1", "h2"), noted)
     if newest is not None:
         writers.write_hwm(spark, mark_path, newest, now)
-    return quality.recovery_summary(rejected)
+    rejected.unpersist()
+    return found
 
 
 def refresh_dimensions(spark: SparkSession, fact: DataFrame, base: str, now: datetime) -> None:
@@ -122,6 +148,8 @@ def refresh_derived(spark: SparkSession, fact: Callable[[], DataFrame], base: st
     done = []
     for name, lag in TARGET_LAGS.items():
         build = gold.GOLD_TABLES[name].build
+        if build is gold.product_daily:
+            build = partial(build, null_as_zero=True)
         if writers.refresh_if_stale(spark, f"{base}/{name}", lambda b=build: b(fact()), lag, now):
             done.append(name)
     return done

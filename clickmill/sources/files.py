@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,6 +47,28 @@ def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     return found
 
 
+#: Folder value of a missing partition value, and the characters Spark escapes in one (fixed values).
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = frozenset(map(chr, [*range(1, 32), 127])) | frozenset("\"#%'*/:=?\\{[]^")
+
+
+def folder_of(cols: tuple[str, ...], values: tuple) -> str:
+    """Relative folder of a partition, as Spark names it."""
+    def name(value) -> str:
+        text = NO_VALUE if value is None or str(value) == "" else str(value)
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
+
+    return "".join(f"/{c}={name(v)}" for c, v in zip(cols, values))
+
+
+def values_of(folder: str) -> tuple:
+    """Partition values (text, None where missing) of a relative folder."""
+    def value(text: str):
+        return None if text == NO_VALUE else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), text)
+
+    return tuple(value(part.split("=", 1)[1]) for part in folder.strip("/").split("/"))
+
+
 def is_table(spark: SparkSession, path: str) -> bool:
     """A finished columnar write, or a partitioned table with any file in it."""
     fs, where = _handle(spark, path)
@@ -58,7 +81,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="clickmill-")
         spark.sparkContext.setCheckpointDir(folder)

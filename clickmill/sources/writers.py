@@ -50,17 +50,62 @@ def _stage(path: str) -> str:
     return path.rstrip("/") + "__staged"
 
 
+CHANGES_SCHEMA = "version BIGINT, folder STRING"
+
+
+def _changes(path: str) -> str:
+    return path.rstrip("/") + "__changes"
+
+
+def _emptied(path: str) -> str:
+    return path.rstrip("/") + "__emptied"
+
+
+def record_changes(spark: SparkSession, path: str, folders: list[str]) -> None:
+    """Note which partitions of a table are about to be replaced, under the next version."""
+    if folders:
+        newest = newest_version(spark, path)
+        rows = spark.createDataFrame([(newest + 1, f) for f in sorted(folders)], CHANGES_SCHEMA)
+        rows.coalesce(1).write.mode("append").json(_changes(path))
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """Version of the last write to a partitioned table, 0 where none is noted."""
+    if not files.is_table(spark, _changes(path)):
+        return 0
+    return spark.read.schema(CHANGES_SCHEMA).json(_changes(path)).agg(F.max("version")).first()[0] or 0
+
+
+def changed_partitions(spark: SparkSession, path: str, after: int, up_to: int) -> list[tuple]:
+    """Values of the partitions that versions after one up to another replaced."""
+    if up_to <= after:
+        return []
+    log = spark.read.schema(CHANGES_SCHEMA).json(_changes(path))
+    rows = log.filter((F.col("version") > after) & (F.col("version") <= up_to)).select("folder").distinct().collect()
+    return sorted((files.values_of(r.folder) for r in rows), key=repr)
+
+
 def _publish(spark: SparkSession, path: str, cols: tuple[str, ...]) -> None:
     """Move the staged partitions, or the whole staged table, into place.
 
-    Moving keeps the file layout and writes the data once. Partitions that were
-    moved before an interruption are no longer staged, so repeating this is safe.
+    Moving keeps the file layout and writes the data once. What is to change is noted
+    first, partitions that have become empty are deleted from the list kept beside the
+    stage, and partitions moved before an interruption are no longer staged, so repeating
+    this is safe.
     """
     stage, path = _stage(path), path.rstrip("/")
     if cols:
-        for folder in files.partition_folders(spark, stage, len(cols)):
+        gone = []
+        if files.exists(spark, _emptied(path)):
+            gone = [r.value for r in spark.read.text(_emptied(path)).collect()]
+        folders = files.partition_folders(spark, stage, len(cols))
+        record_changes(spark, path, [*folders, *gone])
+        for folder in gone:
+            files.delete(spark, path + folder)
+        for folder in folders:
             files.replace(spark, stage + folder, path + folder)
         files.delete(spark, stage)
+        files.delete(spark, _emptied(path))
     else:
         files.replace(spark, stage, path)
     spark.catalog.refreshByPath(path)
@@ -79,13 +124,17 @@ def staged_overwrite(
 
     The result is written aside in full before anything is replaced, so no plan
     reads what it overwrites and an interrupted run can be finished from the copy.
-    Replacement is not atomic across partitions.
+    Replacement is not atomic across partitions. A table has one writer at a time.
     """
     spark = df.sparkSession
+    files.delete(spark, _stage(path))
+    files.delete(spark, _emptied(path))
+    if emptied:
+        # written before the stage is complete, so that a stop in between loses none of it
+        lines = [(files.folder_of(cols, values),) for values in emptied]
+        spark.createDataFrame(lines, "value STRING").coalesce(1).write.text(_emptied(path))
     writer = sized(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*cols) if cols else writer).parquet(_stage(path))
-    for values in emptied or []:
-        files.delete(spark, "/".join([path.rstrip("/"), *[f"{c}={v}" for c, v in zip(cols, values)]]))
     _publish(spark, path, cols)
 
 
@@ -97,6 +146,7 @@ def partition_values(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
 def upsert_path(
     spark: SparkSession, path: str, df: DataFrame, keys: list[str],
     cols: tuple[str, ...] = (), merge: Merge = upsert, fixed_partition: bool = False,
+    also: list[tuple] | None = None,
 ) -> None:
     """Create the table from ``df``, or merge ``df`` into it.
 
@@ -104,7 +154,7 @@ def upsert_path(
     one of the keys are read in full and rewritten. The second kind is found by
     scanning just the key columns, so a key whose row moves to another partition
     leaves no old copy behind. ``fixed_partition`` skips that scan for tables
-    whose keys are known never to move.
+    whose keys are known never to move; ``also`` names partitions to merge besides.
     """
     finish_interrupted(spark, path, cols)
     if not files.is_table(spark, path):
@@ -122,6 +172,7 @@ def upsert_path(
             held = target.select(*keys, *cols).join(incoming.select(*keys), keys, "left_semi")
             landing = landing.union(held.select(*cols))
         touched = partition_values(landing, cols)
+        touched += [v for v in also or [] if v not in touched]
         if not touched:
             return
         affected = target.filter(touched_predicate(cols, touched))
@@ -144,9 +195,12 @@ def _table_schema(
 
 def compact(
     spark: SparkSession, path: str, target_files: int,
-    cluster_cols: tuple[str, ...] = (), cols: tuple[str, ...] = (),
+    cluster_cols: tuple[str, ...] = (), cols: tuple[str, ...] = (), only: list[tuple] | None = None,
 ) -> None:
-    """Rewrite a table into about ``target_files`` files, ordered by ``cluster_cols``.
+    """Rewrite a table, or ``only`` some of its partitions, into about ``target_files`` files.
+
+    Files are ordered by ``cluster_cols``. ``cols`` are the table's partition columns; a
+    partitioned table is not taken for one without.
 
     A row hash ends the range key, so one value that fills much of the table is
     spread over several files instead of one task.
@@ -154,8 +208,13 @@ def compact(
     finish_interrupted(spark, path, cols)
     # partition values are read as text, so folders keep their names ("01" stays "01")
     text = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    found = [f.split("=")[0].strip("/") for f in files.partition_folders(spark, path, 1) if "=" in f]
+    if found and (not cols or found[0] != cols[0]):
+        raise ValueError(f"{path} is partitioned by {found[0]}, not by {cols}")
     schema = _table_schema(spark, path, text, cols)
     table = spark.read.schema(schema).parquet(path)
+    if only is not None:
+        table = table.filter(touched_predicate(cols, only))
     order = [*cols, *cluster_cols]
     if order:
         row_hash = F.xxhash64(*table.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clickmill.operators import ingest, oplogs, silver
+from clickmill.operators import ingest, oplogs, quality, silver
 from clickmill.schemas import BRONZE, PARTITION_COLUMNS
 from clickmill.sources import files
 from clickmill.sources.readers import cast_staged
@@ -71,6 +71,19 @@ def clean_bronze(bronze: DataFrame) -> DataFrame:
     return silver.add_partitions(typed.drop("processing_date"))
 
 
+#: What silver expects of a typed row; the name of the first rule that fails is the reason.
+SILVER_RULES = {"event_id_missing": "event_id IS NOT NULL", "event_time_unreadable": "event_time IS NOT NULL"}
+
+
+def refused_bronze(bronze: DataFrame, now: datetime) -> DataFrame:
+    """The rows ``clean_bronze`` leaves out as quarantine rows, times as the text they came as."""
+    reasons = quality.failure(silver.cast_types(bronze.withColumns(
+        {f"_{c}": F.col(c) for c in ("event_time", "ingestion_timestamp")})), SILVER_RULES)
+    texts = {c: F.col(f"_{c}") for c in ("event_time", "ingestion_timestamp")}
+    stamped = reasons.withColumns({**texts, "_quarantine_timestamp": ingest.iso_text(ingest.as_instant(now))})
+    return stamped.drop("_event_time", "_ingestion_timestamp").withColumn("_at", ingest.as_instant(now))
+
+
 def latest_by_ingestion(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return silver.apply_changes(target, changes, keys, "ingestion_timestamp")
 
@@ -78,9 +91,12 @@ def latest_by_ingestion(target: DataFrame, changes: DataFrame, keys: list[str])
 def stream_to_silver(
     spark: SparkSession, src: str, dst: str, checkpoint: str,
     schema: T.StructType = BRONZE, max_files: int | None = None, fixed_partition: bool = False,
+    quarantine: str | None = None, now: datetime | None = None,
 ) -> StreamingQuery:
     """Bronze files to silver, one row per event id, the latest ingestion kept.
 
+    Rows without an id or a readable time go to ``quarantine`` if it is given, stamped ``now``.
+
     ``foreachBatch`` may replay a batch. The outcome depends on the rows alone,
     not on batch order, so replays and files delivered twice change nothing.
     With ``fixed_partition`` (an event id never changes its day) a batch reads only
@@ -88,13 +104,15 @@ def stream_to_silver(
     """
 
     def merge_batch(batch: DataFrame, _: int) -> None:
+        if quarantine is not None:
+            append_ndjson(refused_bronze(batch, now), quarantine, "_at")
         upsert_path(
-            batch.sparkSession, dst, batch, ["event_id"],
+            batch.sparkSession, dst, clean_bronze(batch), ["event_id"],
             cols=PARTITION_COLUMNS, merge=latest_by_ingestion, fixed_partition=fixed_partition,
         )
 
-    cleaned = clean_bronze(stream_ndjson(spark, src, schema, max_files))
-    return run_available(cleaned.writeStream.foreachBatch(merge_batch), checkpoint)
+    arriving = stream_ndjson(spark, src, schema, max_files)
+    return run_available(arriving.writeStream.foreachBatch(merge_batch), checkpoint)
 
 
 def stream_route(

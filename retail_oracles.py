@@ -423,3 +423,24 @@ ORACLES["stream_status_by_bin"] = sql(LOG_SQL, """SELECT time_bucket(INTERVAL 1
   FROM component_log WHERE component = 'validator' GROUP BY 1
   HAVING time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR
          <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM component_log)""")
+
+_REPAIRED = f"""chain AS (
+  SELECT event_time, user_id, event_type, product_id, price, device FROM retail_reasons WHERE rejection_reason IS NULL
+  UNION ALL SELECT event_time, q_user_id, q_event_type, NULL, NULL, q_device FROM retail_reasons WHERE rejection_reason IN {PRICE_FIX}
+  UNION ALL SELECT TIMESTAMP '2024-03-01 00:00:00', q_user_id, q_event_type, q_product_id, CAST(q_price AS DECIMAL(10,2)), q_device
+  FROM retail_reasons WHERE rejection_reason = 'anomaly_future_timestamp'),
+dated AS (SELECT *, CAST(CAST(event_time AS DATE) AS VARCHAR) AS d FROM chain)"""
+_USERS = "count(DISTINCT user_id) FILTER (event_type = '{}')"
+ORACLES["recovered_to_gold"] = sql(RAW_SQL, f"""
+  SELECT 'gold_daily_active_users' AS table_name, d AS event_date, '' AS item, count(*) AS first_count,
+         count(DISTINCT user_id) AS second_count, CAST(NULL AS DOUBLE) AS amount FROM dated GROUP BY d
+  UNION ALL SELECT 'gold_conversion_funnel', d, '', {_USERS.format('product_view')}, {_USERS.format('add_to_cart')}, NULL FROM dated GROUP BY d
+  UNION ALL SELECT 'gold_daily_revenue', d, '', count(*), count(*), CAST(sum(price) AS DOUBLE) FROM dated
+  WHERE event_type = 'purchase' AND price IS NOT NULL GROUP BY d
+  UNION ALL SELECT 'gold_top_products', d, CAST(product_id AS VARCHAR), count(*), count(DISTINCT user_id),
+         CAST(sum(price) FILTER (event_type = 'purchase') AS DOUBLE) FROM dated WHERE product_id IS NOT NULL GROUP BY d, product_id
+  UNION ALL SELECT 'gold_events_by_device', d, device, count(*), count(DISTINCT user_id),
+         CAST(sum(price) FILTER (event_type = 'purchase') AS DOUBLE) FROM dated GROUP BY d, device""", _REPAIRED)
+ORACLES["silver_expectations"] = sql(BRONZE_SQL, """SELECT 'event_id_missing' AS rule_name,
+  count(*) FILTER (src_id % 11 <> 0) AS passed_records, count(*) FILTER (src_id % 11 = 0) AS failed_records FROM retail_bronze
+  UNION ALL SELECT 'event_time_unreadable', count(*) FILTER (src_id % 7 <> 0), count(*) FILTER (src_id % 7 = 0) FROM retail_bronze""")

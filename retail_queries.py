@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -505,11 +506,52 @@ def run_gold(spark, sf_dir):
     }).withColumn("price", F.col("price").cast("double")).drop("src_id", "event_date", "value"))
     cut = F.lit("2024-01-15 12:00:00").cast("timestamp")
     for i, part in enumerate((F.col("ingestion_timestamp") <= cut, F.col("ingestion_timestamp") > cut)):
-        rows.filter(part).write.mode("append").partitionBy("year", "month", "day").parquet(table)
+        writers.upsert_path(spark, table, rows.filter(part), ["event_id"], schemas.PARTITION_COLUMNS, fixed_partition=True)
         jobs.run_gold(spark, table, out, mark, CLOCK + timedelta(days=i))
     return spark.read.parquet(f"{out}/gold_top_products").drop("processing_timestamp")
 
 
+RECOVERED_AT = CLOCK + timedelta(days=3)
+
+
+def recovered_to_gold(spark, sf_dir):
+    """Route, silver, gold, recovery, silver, gold; all five daily tables as one."""
+    bronze, bad, dead, table, out, mark, seen = (
+        files.scratch(spark, n) for n in ("bronze", "quarantine", "dead", "silver", "gold", "mark", "seen"))
+    checked = ingest.with_rejection_reason(X.retail_raw(spark, sf_dir), X.NOW)
+    valid, quarantined, _ = ingest.route(checked, X.INGESTED)
+    stamp = ingest.as_instant(X.INGESTED)
+    writers.append_ndjson(valid.drop("src_id").withColumn("_at", stamp), bronze, "_at")
+    writers.append_ndjson(quarantined.drop("src_id", "payload").withColumn("_at", stamp), bad, "_at")
+    for again in (False, True):
+        if again:
+            jobs.recover_quarantine(spark, bad, bronze, dead, seen, RECOVERED_AT)
+        jobs.bronze_to_silver(spark, bronze, table)
+        jobs.run_gold(spark, table, out, mark, RECOVERED_AT)
+    shape = {
+        "gold_daily_active_users": ("''", "total_events", "daily_active_users", "NULL"),
+        "gold_conversion_funnel": ("''", "viewers", "cart_adders", "NULL"),
+        "gold_daily_revenue": ("''", "purchase_count", "purchase_count", "total_revenue"),
+        "gold_top_products": ("string(product_id)", "total_interactions", "unique_users", "revenue"),
+        "gold_events_by_device": ("device", "event_count", "unique_users", "revenue"),
+    }
+    parts = [spark.read.parquet(f"{out}/{name}").selectExpr(
+        f"'{name}' AS table_name", "string(event_date) AS event_date", f"{k} AS item", f"bigint({a}) AS first_count",
+        f"bigint({b}) AS second_count", f"double({c}) AS amount") for name, (k, a, b, c) in shape.items()]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def silver_expectations(spark, sf_dir):
+    """Passed and failed rows per silver rule, every seventh time unreadable, some ids missing."""
+    path = files.scratch(spark, "bronze")
+    rows = X.retail_bronze(spark, sf_dir).withColumns({
+        "event_time": F.when(F.col("src_id") % 7 == 0, "2031-44-55T66:77:88").otherwise(X.zulu("event_time")),
+        "ingestion_timestamp": X.zulu("ingestion_timestamp"),
+        "event_id": F.when(F.col("src_id") % 11 != 0, F.col("event_id"))})
+    writers.append_ndjson(rows.drop("src_id", "value", "event_date").withColumn("_at", ingest.as_instant(X.INGESTED)), path, "_at")
+    return jobs.silver_expectations(spark, path)
+
+
 # --- analyst queries ---------------------------------------------------------
 
 def weekday_sales(spark, sf_dir):
@@ -639,7 +681,7 @@ QUERIES = {f.__name__: f for f in (
     recovery_summary, quarantine_trend,
     cast_types, duplicate_keys, dedup, apply_changes, stream_to_silver, add_partitions,
     event_distribution, distinct_partitions, reconcile, to_fact, bronze_to_silver, stream_route,
-    recover_quarantine, since_hwm, row_counts, dim_date, run_gold,
+    recover_quarantine, since_hwm, row_counts, dim_date, run_gold, recovered_to_gold, silver_expectations,
     weekday_sales, kpi_join, revenue_anomalies,
     mask_column, hash_mask, mask_user_id, row_security,
     latency_by_bin, alerts, freshness, layout_health, stream_status_by_bin,

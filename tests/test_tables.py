@@ -207,3 +207,62 @@ def test_interrupted_partition_moves_are_finished(spark):
     writers.finish_interrupted(spark, path, ("p",))
     assert rows(spark.read.parquet(path).select("p", "k", "v")) == [("a", "x", 1), ("b", "y", 2)]
     assert not files.exists(spark, path + "__staged")
+
+
+def test_key_leaves_the_missing_partition(spark):
+    path = files.scratch(spark, "moves")
+    schema = "k int, v string, d string"
+    writers.upsert_path(spark, path, spark.createDataFrame([(1, "a", None), (2, "b", "x/y=%1"), (3, "c", "NULL")], schema), ["k"], ("d",))
+    writers.upsert_path(spark, path, spark.createDataFrame([(1, "a2", "x"), (2, "b2", "x")], schema), ["k"], ("d",))
+    got = spark.read.schema(schema).parquet(path)
+    assert sorted(map(tuple, got.select("k", "v", "d").collect())) == [(1, "a2", "x"), (2, "b2", "x"), (3, "c", "NULL")]
+
+
+def test_stop_between_stage_and_delete(spark, monkeypatch):
+    path, schema = files.scratch(spark, "stopped"), "k int, d string"
+    writers.upsert_path(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], schema), ["k"], ("d",))
+    real = writers._publish
+    monkeypatch.setattr(writers, "_publish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        writers.upsert_path(spark, path, spark.createDataFrame([(1, "b")], schema), ["k"], ("d",))
+    monkeypatch.setattr(writers, "_publish", real)
+    writers.finish_interrupted(spark, path, ("d",))
+    assert sorted(map(tuple, spark.read.schema(schema).parquet(path).select("k", "d").collect())) == [(1, "b"), (2, "b")]
+    assert writers.newest_version(spark, path) == 2
+    assert writers.changed_partitions(spark, path, 1, 2) == [("a",), ("b",)]
+
+
+def test_compact_keeps_partitions(spark):
+    path = files.scratch(spark, "compacted")
+    rows = spark.range(100).selectExpr("id", "concat('p', id % 3) AS d")
+    rows.write.partitionBy("d").parquet(path)
+    with pytest.raises(ValueError, match="partitioned"):
+        writers.compact(spark, path, 2)
+    writers.compact(spark, path, 1, cols=("d",), only=[("p1",)])
+    assert spark.read.parquet(path).exceptAll(rows).count() == 0 and spark.read.parquet(path).count() == 100
+
+
+def test_rejects_with_one_stamp_are_all_recovered(spark):
+    from datetime import datetime
+
+    from clickmill import schemas
+    from clickmill.plans import jobs
+
+    bad, bronze, dead, mark = (files.scratch(spark, n) for n in ("bad", "bronze", "dead", "mark"))
+    at = "2024-05-05T00:00:00+00:00"
+
+    def reject(name, reason):
+        row = (name, "2024-05-04T01:02:03+00:00", 5, "login", None, 1.5, "tablet", "SG", None, None, reason, at)
+        writers.append_ndjson(spark.createDataFrame([row], schemas.QUARANTINE).selectExpr("*", "timestamp'2024-05-05' AS _at"), bad, "_at")
+
+    def recover():
+        return tuple(jobs.recover_quarantine(spark, bad, bronze, dead, mark, datetime(2024, 5, 6)).first())[:2]
+
+    reject("first-one", "anomaly_login_has_price")
+    assert recover() == (1, 1)
+    reject("second-one", "anomaly_login_has_price")
+    reject("third-one", "user_id_not_integer")
+    assert recover() == (2, 1) and recover() == (0, 0)
+    fixed = spark.read.schema(schemas.BRONZE).json(bronze).select("event_id", "ingestion_timestamp").collect()
+    assert sorted(map(tuple, fixed)) == [("first-one", "2024-05-06T00:00:00+00:00"), ("second-one", "2024-05-06T00:00:00+00:00")]
+    assert [r.event_id for r in spark.read.parquet(dead).collect()] == ["third-one"]
