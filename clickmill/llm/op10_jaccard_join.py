@@ -52,7 +52,7 @@ from .windows import U, hashes, mix, powers, prefix_sums, slices, word_units
 WIDTH, PERCENT = 4, 85
 #: Shingles and similarity where documents are removed.
 STAGE_WIDTH, STAGE_PERCENT = 5, 80
-LEAF, PIVOTS, ROUNDS, BLOCK, CELLS = 8, 4, 3, 64, 256
+LEAF, PIVOTS, ROUNDS, BLOCK, CELLS = 8, 4, 1, 64, 256
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
