@@ -15,7 +15,8 @@ most eps = 1 - threshold.
    pivot p and, by the triangle inequality, may link with documents of pivot q only if
    d(x, q) <= d(x, p) + 2 eps: it is replicated to those. Regions are joined again the same
    way. Whoever links with a pivot has joined its component, and a region all of whose
-   documents are in one component is finished: it can add nothing. Distances here are those
+   documents are in one component is finished: it can add nothing. Regions with the same
+   documents are one, and a region that a pivot's region holds whole goes on only once. Distances here are those
    of the documents' profiles, the numbers of their shingles in CELLS hash cells, by the
    Jaccard distance of multisets. That is a metric too and never more than d, so windows
    stay right with it; and pairs of profiles further apart than eps cannot link. Only the
@@ -217,6 +218,23 @@ def _sized(regions: DataFrame) -> DataFrame:
     return regions.join(count, "region")
 
 
+def _distinct(regions: DataFrame) -> DataFrame:
+    """One of the regions that hold the same documents: neighbouring shingles of a passage make the same region."""
+    mark = regions.groupBy("region").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.sum(F.xxhash64("doc", F.lit(1)).cast("decimal(20,0)")).alias("s"))
+    kept = mark.groupBy("n", "x", "s").agg(F.min("region").alias("region")).select("region")
+    return regions.join(kept, "region", "left_semi")
+
+
+def _split(within: DataFrame, parents: DataFrame) -> DataFrame:
+    """The pivots' regions; of a parent region that one of them holds whole, only that one."""
+    count = within.groupBy("parent", "region").agg(F.count("*").alias("m"))
+    widest = count.groupBy("parent").agg(F.max(F.struct("m", "region")).alias("widest"))
+    whole = widest.join(parents.select(F.col("region").alias("parent"), "n").distinct(), "parent").where(F.col("widest.m") == F.col("n"))
+    spare = count.join(whole.select("parent", F.col("widest.region").alias("only")), "parent").where("region <> only").select("region")
+    return within.join(spare, "region", "left_anti").select("region", "doc", "size")
+
+
 def _pivots(regions: DataFrame, round_: int) -> DataFrame:
     """PIVOTS documents of each region, drawn by hash."""
     chosen = [F.min(F.struct(F.xxhash64("doc", F.lit(round_ * PIVOTS + i)), "doc"))["doc"] for i in range(PIVOTS)]
@@ -269,7 +287,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     links = settle(copies, "links")
     postings = dealt.where("posting").select("region", "doc", "size").join(links.select(F.col("v").alias("doc")), "doc", "left_anti")
 
-    regions = settle(_sized(postings), "regions")
+    regions = settle(_distinct(_sized(postings)), "regions")
     profiles = every.select("doc", "profile")
     fits = F.col("shared") * 100 >= F.col("joint") * percent
     large = regions.where(F.col("n") > LEAF)
@@ -296,8 +314,9 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         nearest = away.groupBy("region", "doc").agg(F.min("d").alias("near"))
         # A little over 2 eps, so that rounding loses no document on the border.
         within = (away.join(nearest, ["region", "doc"]).where(F.col("d") <= F.col("near") + 2 * eps + 1e-9)
-                  .select(F.xxhash64("region", "number", F.lit(round_)).alias("region"), "doc", "size"))
-        regions = settle(_open_regions(_sized(within.distinct()), links), "regions")
+                  .select(F.col("region").alias("parent"), F.xxhash64("region", "number", F.lit(round_)).alias("region"), "doc", "size"))
+        within = settle(within, "within")
+        regions = settle(_open_regions(_sized(_split(within, large)), links), "regions")
         large = regions.where(F.col("n") > LEAF)
         if regions.isEmpty():
             break
