@@ -106,25 +106,26 @@ def _dealt(width: int, percent: int, common, shared):
         for batch in incoming:
             keys = batch.column("doc_key").to_numpy()
             n, low, high, regions, of, counts = [], [], [], [], [], []
-            seen: set[tuple[int, int]] = set()
+            # Of equal sets the copy with the smallest key posts: only that can be the head of its class.
+            seen: dict[tuple[int, int], int] = {}
             for doc, one in enumerate(_sets_of(batch, width)):
                 n.append(len(one))
                 counts.append(profile(one))
                 low.append(int(np.add.reduce(mix(one))) if len(one) else 0)
                 high.append(int(np.bitwise_xor.reduce(mix(one + U(1)))) if len(one) else 0)
-                if len(one) and (low[-1], high[-1]) not in seen:
-                    seen.add((low[-1], high[-1]))
+                if len(one) and (at := seen.setdefault((low[-1], high[-1]), len(of))) == len(of):
                     first = _own_regions(one, common.value, percent)
-                    first = first[shared.value.reached(mix(first))]
-                    regions.append(first)
-                    of.append(np.full(len(first), doc))
+                    regions.append(first[shared.value.reached(mix(first))])
+                    of.append(doc)
+                elif len(one) and keys[doc] < keys[of[at]]:
+                    of[at] = doc
             n = np.array(n, np.int64)
             none = np.zeros(len(n), np.int64)
             yield from batches({
                 "posting": np.zeros(len(n), bool), "region": none, "doc": keys, "size": n, "low": np.array(low, U).view(np.int64),
                 "high": np.array(high, U).view(np.int64), "doc_id": batch.column("doc_id"), "profile": pa.array(counts, pa.binary())})
             if regions:
-                which, region = np.concatenate(of), np.concatenate(regions).view(np.int64)
+                which, region = np.repeat(of, list(map(len, regions))), np.concatenate(regions).view(np.int64)
                 yield from batches({
                     "posting": np.ones(len(which), bool), "region": region, "doc": keys[which], "size": n[which],
                     "low": none[:1].repeat(len(which)), "high": none[:1].repeat(len(which)), "doc_id": keys[which],

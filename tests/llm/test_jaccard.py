@@ -45,6 +45,19 @@ def test_components(request, which, leaf, monkeypatch):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_copies_in_falling_order_of_their_ids(spark):
+    """Classes whose smallest id stands behind copies in one record batch still meet near copies."""
+    rows = []
+    for k in range(3):
+        words = [f"w{k}x{i}" for i in range(60)]
+        copy, near = " ".join(words), " ".join([*words[:-1], "changed"])
+        rows += [(900 - k, copy), (500 - k, near), (300 - k, copy), (30 - k, copy)]
+    rows.sort(reverse=True)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in m.jaccard_components(docs).collect()]
+    assert sorted(got, key=repr) == brute(rows) and {g[2] for g in got} == {30, 29, 28}
+
+
 def test_no_documents(no_docs):
     assert m.jaccard_components(no_docs).collect() == []
 
