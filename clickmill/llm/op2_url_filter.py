@@ -6,9 +6,11 @@ boosted trees (the session's own GBTClassifier) on lexical features: length, hos
 depth, hyphens, digit ratio, character entropy, parameter count, and how often labelled urls
 with the same host suffix (last two and last three labels) were bad.
 
-Labelled urls: a bounded sample of LABELLED urls, drawn by hash. One is bad if a part of its
-host between dots and hyphens is one of BAD_PARTS. The trees do not see these words. Suffix
-statistics of a labelled url leave its own label out. If the sample has only one kind of
+Every url is labelled: it is bad if a part of its host between dots and hyphens is one of
+BAD_PARTS. The trees do not see these words. Suffix statistics count all urls, in FOLDS folds
+drawn by hash; a url's own are those of the other folds, in training and in judging, so its
+own label is in neither (less it alone, the rest would tell its label). Only the rows that
+the trees are fitted on are a bounded sample of LABELLED urls. If that has only one kind of
 label, the method allows all.
 
 Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased. Path: from there
@@ -27,7 +29,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settle, table
 
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -36,6 +38,7 @@ BAD_PARTS = ("ads", "adult", "bets", "betting", "bonus", "casino", "cheap", "cli
              "warez", "win", "winner", "xxx")
 LABELLED = 20_000
 TREES, DEPTH, RATE = 12, 3, 0.3
+FOLDS = 10
 PRIOR = 2.0
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -88,49 +91,56 @@ def with_features(pages: DataFrame) -> DataFrame:
     )
 
 
-def labelled(featured: DataFrame, rows: int, most: int = LABELLED) -> DataFrame:
-    """A bounded sample with the column `label`."""
-    share = min(1.0, most / max(1, rows))
+def with_labels(featured: DataFrame) -> DataFrame:
+    """featured with the columns `label` and `fold`."""
     bad = F.arrays_overlap(F.split("host", r"[.-]"), F.array(*map(F.lit, BAD_PARTS)))
-    return featured.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < share * 1_000_000).withColumn(
-        "label", bad.cast("double"))
+    return featured.withColumns({"label": bad.cast("double"), "fold": F.pmod(F.xxhash64("page_id", "url"), F.lit(FOLDS)).cast("int")})
+
+
+def labelled(featured: DataFrame, rows: int, most: int = LABELLED) -> DataFrame:
+    """A bounded sample."""
+    return featured.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < min(1.0, most / max(1, rows)) * 1_000_000)
 
 
-def suffix_rates(sample: DataFrame, suffix: str) -> DataFrame:
-    """Number of labelled and of bad urls of each suffix: at most as many rows as the sample."""
-    return sample.groupBy(suffix).agg(F.count("*").alias(f"{suffix}_n"), F.sum("label").alias(f"{suffix}_bad"))
+def suffix_counts(rows: DataFrame) -> DataFrame:
+    """Number of urls and of bad ones of each host suffix and fold; suffix3 ends in suffix2."""
+    return rows.groupBy("suffix3", "suffix2", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
 
 
-def _rated(rows: DataFrame, rates: dict[str, DataFrame], base: float, own: bool) -> DataFrame:
+def suffix_rates(counts: DataFrame, base: Column) -> DataFrame:
+    """rate2 and rate3 of each suffix3 and fold, from the urls of the other folds."""
+    out = counts.select("suffix3", "suffix2", "fold")
     for suffix, name in (("suffix2", "rate2"), ("suffix3", "rate3")):
-        # Bounded by the sample, so it can be broadcast.
-        rows = rows.join(F.broadcast(rates[suffix]), suffix, "left")
-        n, bad = F.coalesce(F.col(f"{suffix}_n"), F.lit(0)), F.coalesce(F.col(f"{suffix}_bad"), F.lit(0.0))
-        if own:
-            n, bad = n - 1, bad - F.col("label")
-        rows = rows.withColumn(name, (bad + PRIOR * base) / (n + PRIOR))
-    return rows
+        own = counts.groupBy(suffix, "fold").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        whole = own.groupBy(suffix).agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
+        rate = (F.col("all_bad") - F.col("bad") + PRIOR * base) / (F.col("all_n") - F.col("n") + PRIOR)
+        out = out.join(own.join(whole, suffix).select(suffix, "fold", rate.alias(name)), [suffix, "fold"])
+    return out.select("suffix3", "fold", "rate2", "rate3")
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule and verdict of every page."""
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"))
-    rows = pages.count()
     split = pages.withColumns({"host": host, "path": path})
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    featured = with_features(split.withColumns({"rule": rule, "ruled": verdict}))
-    sample = labelled(featured, rows).persist()
-    kinds = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad")).first()
+    featured = with_labels(with_features(split.withColumns({"rule": rule, "ruled": verdict})))
+    counts = settle(suffix_counts(featured), "suffixes")
+    folds = counts.groupBy("fold").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).collect()
+    rows, bad = sum(r["n"] for r in folds), sum(r["bad"] for r in folds)
     answer = F.lit("allow")
-    if 0 < kinds["bad"] < kinds["n"]:
-        base = kinds["bad"] / kinds["n"]
-        rates = {s: suffix_rates(sample, s) for s in ("suffix2", "suffix3")}
+    if 0 < bad < rows:
+        # The share of bad urls in the other folds.
+        base = F.create_map(*[F.lit(x) for r in folds for x in (r["fold"], (bad - r["bad"]) / max(1, rows - r["n"]))])[F.col("fold")]
+        rated = featured.join(settle(suffix_rates(counts, base), "rates"), ["suffix3", "fold"])
         assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        training = assembler.transform(_rated(sample, rates, base, True)).select("features", "label")
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=1).fit(training)
-        featured = model.transform(assembler.transform(_rated(featured, rates, base, False)))
-        answer = F.when(F.col("prediction") == 1, "block").otherwise("allow")
+        training = assembler.transform(labelled(rated, rows)).select("features", "label").persist()
+        kinds = training.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad")).first()
+        if 0 < kinds["bad"] < kinds["n"]:
+            model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=1).fit(training)
+            featured = model.transform(assembler.transform(rated))
+            answer = F.when(F.col("prediction") == 1, "block").otherwise("allow")
+        training.unpersist()
     return featured.select("page_id", "host", "path", "rule", F.coalesce("ruled", answer).alias("verdict"))
 
 

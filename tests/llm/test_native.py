@@ -77,6 +77,17 @@ def test_rules_and_trees(spark):
     assert all(got[len(good) + i].verdict == "block" for i in range(len(bad)))
 
 
+def test_suffixes_are_counted_on_all_pages(spark, monkeypatch):
+    """The trees see few rows, but the other pages of each host count."""
+    fit_on = urls.labelled
+    monkeypatch.setattr(urls, "labelled", lambda featured, rows: fit_on(featured, rows, 100))
+    hosts = [(f"{'win' if k * 7 % 11 % 2 else 'niw'}-{k}.t{k % 7}.test", k * 7 % 11 % 2) for k in range(100, 300)]
+    rows = [(10 * k + i, f"http://{host}/{10 + i}", bad) for k, (host, bad) in enumerate(hosts) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = urls.judge_urls(pages).join(pages.drop("url"), "page_id").collect()
+    assert len(got) == len(rows) and sum((r.verdict == "block") != r.bad for r in got) <= len(rows) // 50
+
+
 def test_no_pages(spark):
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
