@@ -3,10 +3,12 @@
 Every page becomes a tree of elements and texts; runs of like siblings fold into repeated
 groups. The expressions of a host's pages are aligned one after the other: what only some
 have becomes optional, neighbours that have become alike fold again, texts that differ
-become slots. The wrapper of all pages then decides a page's texts: those in its article or
-main part stay, furniture (menus, headers, footers, sidebars, notices, adverts, forms,
-comments, by element or by words of class, id and role) goes; on pages without such a part,
-text that all pages of the host share goes as well.
+become slots. A page's texts are those in its article or main part, or all of a page without
+one. From these go furniture (menus, headers, footers, sidebars, notices, adverts, forms,
+comments, by element or by words of class, id and role) and, on hosts of MANY pages or more,
+the wrapper's regions that say the same on all of them; a page without an article part also
+loses regions that are only lists of links. A region that only some pages have stays unless
+labelled as furniture: tables and figures are optional too.
 
 Alignment is spread: each record batch aligns its own pages of a host, then parts of a host,
 then the parts' results, in streams sorted by host, so a host with very many pages never
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import settle, table
 from .op2_url_filter import host_and_path
-from .page_tree import align, blocks, expression, parse
+from .page_tree import MANY, align, blocks, expression, parse
 
 #: Parts into which the pages of one host are aligned first.
 PARTS = 64
@@ -89,7 +91,7 @@ def _texts(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(known) > 256:
                     known.clear()
                 known[wrapper] = json.loads(wrapper)
-            out.append("\n".join(blocks(parse(page.as_py() or ""), known.get(wrapper), (pages or 0) > 1)))
+            out.append("\n".join(blocks(parse(page.as_py() or ""), known.get(wrapper), (pages or 0) >= MANY)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 

@@ -30,6 +30,11 @@ FURNITURE_WORDS = frozenset((
     "disclaimer footer header menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted "
     "related reply replies search share sharing sidebar social sponsor sponsored subscribe toolbar widget masthead").split())
 CONTENT = frozenset("article main".split())
+#: Elements that can be a region of a wrapper, and headings that no region of furniture holds.
+BOXES = frozenset("details div fieldset figure ol section span ul".split())
+TITLES = ("h1", "h2")
+#: Pages of a host from which its wrapper tells furniture from content.
+MANY = 4
 DEEPEST = 60
 
 _TOKEN = re.compile(
@@ -247,28 +252,79 @@ def matched(kids: list, wrapper: list | None) -> list:
     return out
 
 
+def fixed(part: list) -> set[int]:
+    """Checksums of the texts of a wrapper's region that says the same on all pages and has no title; else none."""
+    said: set[int] = set()
+    for sign, kid in part[1]:
+        if sign not in "1+" or kid[0].split(".")[0] in TITLES:
+            return set()
+        if kid[0][:1] == "#" or kid[1]:
+            own = fixed(kid) if kid[0][:1] != "#" else set() if kid[1] is None else {kid[1]}
+            if not own:
+                return set()
+            said |= own
+    return said
+
+
+def _checksums(node: Node) -> set[int]:
+    said: set[int] = set()
+    for kid in node.kids:
+        if kid.__class__ is not list:
+            said |= _checksums(kid)
+        elif kid[0].strip():
+            said.add(crc32(" ".join(kid[0].split()).encode()))
+    return said
+
+
+def _links(node: Node) -> int:
+    """Number of texts of a region if all are links, else 0."""
+    n = 0
+    for kid in node.kids:
+        if kid.__class__ is not list:
+            if kid.kids and not kid.furniture:
+                own = _links(kid)
+                if not own and _says(kid):
+                    return 0
+                n += own
+        elif kid[0].strip():
+            if not kid[1]:
+                return 0
+            n += 1
+    return n
+
+
+def _says(node: Node) -> bool:
+    return any(bool(k[0].strip()) if k.__class__ is list else not k.furniture and _says(k) for k in node.kids)
+
+
 def blocks(root: Node, wrapper: list | None, shared: bool) -> list[str]:
     """Texts of the article's blocks in page order.
 
-    The article is what lies in an article or main element, less furniture; on a page
-    without one, all that is no furniture, no link and, if `shared` (the wrapper stands for
-    several pages), no text that all pages of the host have in common; and where that
-    leaves nothing, all that is no furniture.
+    The article is what lies in an article or main element, or all of a page without one,
+    less furniture: elements labelled so, if `shared` (the wrapper stands for MANY pages)
+    regions of the wrapper that say the same on all pages of the host, and outside an article
+    regions of several links and nothing else. Regions that are half of the text or more are
+    what the host's pages have in common, not furniture, and a page of furniture only keeps all.
     """
-    found: list[tuple[int, str]] = []
+    found: list[tuple[int, int, str]] = []  # rank, kind of furniture (1 same everywhere, 2 links), text
 
-    def walk(node: Node, part: list | None, content: bool, everywhere: bool) -> None:
+    def walk(node: Node, part: list | None, content: bool, everywhere: bool, kind: int) -> None:
         content = content or node.tag in CONTENT
         for kid, (own, always) in zip(node.kids, matched(node.kids, part)):
             always = always and everywhere
             if kid.__class__ is list:
                 text = " ".join(kid[0].split())
-                fixed = shared and always and own[1] is not None
                 if text:
-                    found.append((0 if content else 2 if fixed or kid[1] else 1, text))
+                    found.append((0 if content else 1, kind, text))
             elif not kid.furniture:
-                walk(kid, own, content, always)
-
-    walk(root, wrapper, False, True)
-    best = min((rank for rank, _ in found), default=0)
-    return [text for rank, text in found if rank == best]
+                of = kind
+                if not of and kid.tag in BOXES:
+                    of = 1 if shared and always and (said := fixed(own)) and _checksums(kid) <= said else 2 if not content and _links(kid) > 1 else 0
+                walk(kid, own, content, always, of)
+
+    walk(root, wrapper, False, True, 0)
+    best = min((rank for rank, _, _ in found), default=0)
+    rest = [(kind, text) for rank, kind, text in found if rank == best]
+    sizes = [sum(len(text) for kind, text in rest if kind == k) for k in (0, 1, 2)]
+    gone = {k for k in (1, 2) if sizes[0] and (k == 2 or sizes[1] < sizes[0])}
+    return [text for kind, text in rest if kind not in gone]

@@ -156,3 +156,17 @@ def test_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert pages.extract(table.limit(0)).collect() == []
     assert blocks(parse("<p>x"), None, False) == ["x"]
+
+
+def test_wrapper_drops_regions_inside_the_article(spark):
+    """A box without a telling class that says the same on all pages goes; titles and what only some pages have stay."""
+    def built(n):
+        table = f"<table><tr><td>cell {n}</td></tr></table>" if n % 2 else ""
+        return (f"<body><article><h1>Head {n}</h1><h2>Contents</h2><p>Words of text {n}, and some more of them</p>{table}"
+                f'<div class="x7"><h3>Tell others</h3><p><a href="/">Post it</a></p></div></article></body>',
+                "\n".join(["Head " + str(n), "Contents", f"Words of text {n}, and some more of them", *([f"cell {n}"] if n % 2 else [])]))
+    rows = [(n, f"http://one.example.com/{n}", built(n)[0]) for n in range(12)]
+    rows += [(20 + n, f"http://few.example.com/{n}", built(n)[0]) for n in range(2)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {n: got[n] for n in range(12)} == {n: built(n)[1] for n in range(12)}
+    assert all(got[20 + n].endswith("Tell others\nPost it") for n in range(2))
