@@ -170,3 +170,12 @@ def test_wrapper_drops_regions_inside_the_article(spark):
     got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert {n: got[n] for n in range(12)} == {n: built(n)[1] for n in range(12)}
     assert all(got[20 + n].endswith("Tell others\nPost it") for n in range(2))
+
+
+def test_near_copies_without_an_article_lose_nothing(spark):
+    menu = '<ul class="list"><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul>'
+    rows = [(n, f"http://h.example.com/{n}", f"<body>{menu}<h1>Common head</h1><p>Same words in all</p><p><a href='/x'>A linked line</a></p>"
+             f"<div><p>A long passage that all of the copies have in common</p></div><p>line {n}</p></body>") for n in range(6)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {n: "\n".join(["Common head", "Same words in all", "A linked line", "A long passage that all of the copies have in common",
+                                 f"line {n}"]) for n in range(6)}
