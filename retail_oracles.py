@@ -156,8 +156,8 @@ ORACLES["refresh_if_stale"] = sql(
     RETAIL_SQL, f"SELECT *, CAST(2 AS INTEGER) AS rebuilds FROM ({DAU.format(src='retail_events')})")
 
 # --- ingestion quality -------------------------------------------------------
-ORACLES["decode_payload"] = sql(RETAIL_SQL, """SELECT src_id, device <> 'tablet' AS is_json,
-  CASE WHEN device <> 'tablet' THEN event_id END AS event_id FROM retail_events""")
+ORACLES["decode_payload"] = sql(RAW_SQL, """SELECT src_id, device <> 'tablet' AS is_json,
+  CASE WHEN device <> 'tablet' THEN q_event_id END AS event_id FROM retail_damaged""")
 for _family in FAMILIES:
     ORACLES[f"{_family}_reason"] = sql(RAW_SQL, f"SELECT src_id, {_family}_reason AS reason FROM retail_reasons")
 ORACLES["with_rejection_reason"] = sql(RAW_SQL, "SELECT src_id, rejection_reason FROM retail_reasons")

@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF_DIR = "/root/testdata/sf0.001"
+from helpers import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,8 +28,3 @@ def events(spark):
     import fixtures
 
     return fixtures.retail_events(spark, SF_DIR)
-
-
-def rows(df):
-    """Rows as a sorted list of plain tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, oracle_connection
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 

@@ -6,7 +6,7 @@ import re
 
 import fixtures as X
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 from pyspark.sql import functions as F
 
 import retail_queries as Q

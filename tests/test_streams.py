@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import fixtures as X
-from conftest import SF_DIR, rows
+from helpers import SF_DIR, rows
 from pyspark.sql import functions as F
 
 from clickmill import schemas

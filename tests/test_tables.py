@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from clickmill.operators import merge, silver
@@ -164,7 +164,7 @@ def test_derived_tables_follow_their_lags(spark, events):
 
 def test_quarantine_recovery_twice_adds_nothing(spark):
     import fixtures
-    from conftest import SF_DIR
+    from helpers import SF_DIR
 
     src, bronze, dead, mark = (files.scratch(spark, n) for n in ("q", "b", "d", "m"))
     rejected = fixtures.quarantine(spark, SF_DIR).drop("src_id")
