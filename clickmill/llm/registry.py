@@ -12,11 +12,13 @@ from .op9_language_id import op9_language_id
 from .op10_jaccard_join import op10_jaccard_join
 from .op11_whitening import op11_whitening
 from .op12_byte_bpe import op12_byte_bpe
+from .op13_hard_negatives import OP13_SQL, op13_hard_negatives
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_url_filter, op3_decontamination, op4_substring_dedup,
     op5_html_extraction, op6_fingerprint, op7_sentencepiece, op8_suffix_array_dedup,
     op9_language_id, op10_jaccard_join, op11_whitening, op12_byte_bpe,
+    op13_hard_negatives,
 )}
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_chat_format": OP1_SQL, "op13_hard_negatives": OP13_SQL}
