@@ -49,7 +49,8 @@ def apply_changes(
     The result depends only on the set of rows seen, so replaying a batch, or a
     file delivered twice, changes nothing. ``delete_when`` removes keys whose
     latest row matches it; the removal is not remembered, so an older row that
-    arrives in a later call brings its key back.
+    arrives in a later call brings its key back (``apply_changes_with_deletes``
+    remembers).
     """
     excluded = except_cols or []
     merged = changes
@@ -61,6 +62,54 @@ def apply_changes(
     return latest.drop(*excluded)
 
 
+#: Marks rows that stand for the delete of their key.
+DELETED = "_deleted"
+
+
+def mark_deletes(df: DataFrame, delete_when: str) -> DataFrame:
+    return df.withColumn(DELETED, F.coalesce(F.expr(delete_when), F.lit(False)))
+
+
+def latest_state(
+    target: DataFrame | None, changes: DataFrame, keys: list[str], sequence_by: str, except_cols: list[str]
+) -> DataFrame:
+    """The row or delete with the highest sequence of each key; on a tie the delete.
+
+    The order of rows does not look at ``except_cols``, which a target no longer has.
+    """
+    merged = changes if target is None else changes.unionByName(target, allowMissingColumns=True)
+    merged = merged.withColumn(DELETED, F.coalesce(DELETED, F.lit(False)))
+    known = merged.drop(DELETED, *except_cols)
+    return pick_per_key(merged, keys, [F.col(sequence_by).desc_nulls_last(), F.col(DELETED).desc(), content_hash(known)])
+
+
+def apply_changes_with_deletes(
+    target: DataFrame | None,
+    deleted: DataFrame | None,
+    changes: DataFrame,
+    keys: list[str],
+    sequence_by: str,
+    delete_when: str,
+    except_cols: list[str] | None = None,
+    forget_before=None,
+) -> tuple[DataFrame, DataFrame]:
+    """Type-1 change application that remembers deletes: the rows, and the deleted keys with their sequence.
+
+    Both results go into the next call. The outcome depends on the set of changes seen alone,
+    whatever their batches, order and repetition; a row older than the delete of its key stays
+    out. Deletes of a sequence below ``forget_before`` are dropped from the memory.
+    """
+    excluded = except_cols or []
+    marked = mark_deletes(changes, delete_when)
+    if deleted is not None:
+        marked = marked.unionByName(mark_deletes(deleted, "true"), allowMissingColumns=True)
+    state = latest_state(target, marked, keys, sequence_by, excluded)
+    gone = state.filter(DELETED).select(*keys, sequence_by)
+    if forget_before is not None:
+        gone = gone.filter(F.col(sequence_by) >= F.lit(forget_before))
+    return state.filter(~F.col(DELETED)).drop(DELETED, *excluded), gone
+
+
 def add_partitions(df: DataFrame, ts: str = "event_time") -> DataFrame:
     patterns = {"year": "yyyy", "month": "MM", "day": "dd"}
     return df.withColumns({c: F.date_format(F.col(ts), p) for c, p in patterns.items()})

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clickmill import schemas
 from clickmill.operators import dims, gold, ingest, merge, quality, silver
-from clickmill.sources import files, readers, writers
+from clickmill.sources import changes, files, readers, writers
 from clickmill.streaming.streams import SILVER_RULES, clean_bronze, refused_bronze
 
 
@@ -48,8 +48,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_dir: str, hwm_path: str
     same values. Returns False if no partition changed.
     """
     mark = int(writers.read_hwm(spark, hwm_path, default="0"))
-    newest = writers.newest_version(spark, silver_path)
-    touched = writers.changed_partitions(spark, silver_path, mark, newest)
+    newest = changes.newest_version(spark, silver_path)
+    touched = changes.changed_partitions(spark, silver_path, mark, newest)
     if not touched:
         return False
     events = readers.read_table(spark, silver_path, schemas.SILVER)
@@ -116,17 +116,24 @@ def recover_quarantine(
     return found
 
 
-def refresh_dimensions(spark: SparkSession, fact: DataFrame, base: str, now: datetime) -> None:
-    """Merge user and product dimensions; known keys keep their first_seen."""
+def refresh_dimensions(
+    spark: SparkSession, fact: DataFrame, base: str, now: datetime, buckets: int | None = None
+) -> None:
+    """Merge user and product dimensions; known keys keep their first_seen.
+
+    With ``buckets`` the tables are dealt by key, and a refresh rewrites only the folders of
+    the keys in ``fact``; ``writers.read_bucketed`` reads them.
+    """
     for name, build, key in (
         ("dim_users", dims.dim_users, "user_id"), ("dim_products", dims.dim_products, "product_id")
     ):
         fresh = build(fact).withColumn("updated_at", F.lit(str(now)).cast("timestamp"))
         changing = [c for c in fresh.columns if c not in (key, "first_seen")]
-        writers.upsert_path(
-            spark, f"{base}/{name}", fresh, [key],
-            merge=partial(_keep_first_seen, update_cols=changing),
-        )
+        keep_first = partial(_keep_first_seen, update_cols=changing)
+        if buckets:
+            writers.upsert_bucketed(spark, f"{base}/{name}", fresh, [key], buckets, keep_first)
+        else:
+            writers.upsert_path(spark, f"{base}/{name}", fresh, [key], merge=keep_first)
 
 
 def _keep_first_seen(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str]):

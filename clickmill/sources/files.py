@@ -24,6 +24,36 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _handle(spark, path)
+    fs.mkdirs(where)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    fs, where = _handle(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with this text, in place of an earlier one."""
+    fs, where = _handle(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _handle(spark, path)
+    source = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def replace(spark: SparkSession, source: str, target: str) -> None:
     """Move ``source`` to where ``target`` was."""
     fs, src = _handle(spark, source)
@@ -42,7 +72,7 @@ def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
         found = [
             f"{parent}/{child.getPath().getName()}" for parent in found
             for child in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(path + parent))
-            if child.isDirectory()
+            if child.isDirectory() and "=" in child.getPath().getName()
         ]
     return found
 

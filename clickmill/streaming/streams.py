@@ -14,7 +14,7 @@ from clickmill.operators import ingest, oplogs, quality, silver
 from clickmill.schemas import BRONZE, PARTITION_COLUMNS
 from clickmill.sources import files
 from clickmill.sources.readers import cast_staged
-from clickmill.sources.writers import append_ndjson, upsert_path
+from clickmill.sources.writers import append_ndjson, apply_changes_path, upsert_path
 
 
 def stream_ndjson(
@@ -91,7 +91,7 @@ def latest_by_ingestion(target: DataFrame, changes: DataFrame, keys: list[str])
 def stream_to_silver(
     spark: SparkSession, src: str, dst: str, checkpoint: str,
     schema: T.StructType = BRONZE, max_files: int | None = None, fixed_partition: bool = False,
-    quarantine: str | None = None, now: datetime | None = None,
+    quarantine: str | None = None, now: datetime | None = None, delete_when: str | None = None,
 ) -> StreamingQuery:
     """Bronze files to silver, one row per event id, the latest ingestion kept.
 
@@ -100,12 +100,18 @@ def stream_to_silver(
     ``foreachBatch`` may replay a batch. The outcome depends on the rows alone,
     not on batch order, so replays and files delivered twice change nothing.
     With ``fixed_partition`` (an event id never changes its day) a batch reads only
-    the days it brings.
+    the days it brings; else also the days whose key filter lets one of its ids pass.
+    Rows that match ``delete_when`` delete their event, and the delete is remembered.
     """
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         if quarantine is not None:
             append_ndjson(refused_bronze(batch, now), quarantine, "_at")
+        if delete_when is not None:
+            apply_changes_path(
+                batch.sparkSession, dst, clean_bronze(batch), ["event_id"], "ingestion_timestamp",
+                PARTITION_COLUMNS, delete_when, fixed_partition=fixed_partition)
+            return
         upsert_path(
             batch.sparkSession, dst, clean_bronze(batch), ["event_id"],
             cols=PARTITION_COLUMNS, merge=latest_by_ingestion, fixed_partition=fixed_partition,

@@ -212,6 +212,34 @@ ORACLES["apply_changes"] = sql(
   (PARTITION BY event_id ORDER BY ingestion_timestamp DESC) = 1) WHERE NOT (event_type = 'logout' AND country = 'KR')""",
     f"""merged AS ({pick('retail_bronze', 'first', "event_date < DATE '2024-01-16'")}
   UNION ALL SELECT * FROM retail_bronze {LATER})""")
+_KEPT = "NOT (device = 'tablet' AND src_id % 50 = 0)"
+ORACLES["apply_changes_with_deletes"] = sql(
+    BRONZE_SQL, f"SELECT {EVENT}, ingestion_timestamp FROM ({pick('retail_bronze', 'last')}) WHERE {_KEPT}")
+ORACLES["deletes_in_memory"] = sql(
+    BRONZE_SQL, f"""SELECT {EVENT}, ingestion_timestamp, false AS is_deleted FROM latest WHERE {_KEPT}
+  UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, ingestion_timestamp, true FROM latest WHERE NOT ({_KEPT})""",
+    f"latest AS ({pick('retail_bronze', 'last')})")
+ORACLES["upsert_bucketed"] = ORACLES["upsert"]
+_VERSIONS = f"""firsts AS ({pick('retail_bronze', 'first')}), lasts AS ({pick('retail_bronze', 'last')}),
+  v1 AS (SELECT * FROM firsts WHERE event_date < DATE '2024-01-28'),
+  v2 AS (SELECT * FROM firsts WHERE event_date < DATE '2024-01-10' UNION ALL SELECT * FROM lasts WHERE event_date >= DATE '2024-01-10'),
+  v3 AS (SELECT * FROM v2 WHERE NOT (event_date = DATE '2024-01-05' AND country = 'KR'))"""
+ORACLES["version_feed"] = sql(
+    BRONZE_SQL, """SELECT * EXCLUDE (ingestion_timestamp) REPLACE (CAST(price AS DOUBLE) AS price) FROM (
+  SELECT *, 'insert' AS _change_type FROM new WHERE event_id NOT IN (SELECT event_id FROM old)
+  UNION ALL SELECT *, 'delete' FROM old WHERE event_id NOT IN (SELECT event_id FROM new)
+  UNION ALL SELECT o.*, 'update_preimage' FROM old o JOIN new n USING (event_id) WHERE o IS DISTINCT FROM n
+  UNION ALL SELECT n.*, 'update_postimage' FROM old o JOIN new n USING (event_id) WHERE o IS DISTINCT FROM n)""",
+    f"""{_VERSIONS}, old AS (SELECT event_id, user_id, event_type, product_id, price, device, country, ingestion_timestamp FROM v1),
+  new AS (SELECT event_id, user_id, event_type, product_id, price, device, country, ingestion_timestamp FROM v3)""")
+ORACLES["read_version"] = sql(
+    BRONZE_SQL, " UNION ALL ".join(
+        f"SELECT CAST(event_date AS VARCHAR) AS event_date, device, count(*) AS events, CAST({v} AS INTEGER) AS version FROM v{v} GROUP BY 1, 2"
+        for v in (1, 2, 3)), _VERSIONS)
+ORACLES["corrected_to_gold"] = sql(
+    BRONZE_SQL, f"SELECT *, false AS ran_after_compaction FROM ({DEVICE.format(src='corrected')})",
+    f"""corrected AS (SELECT * FROM ({pick('retail_bronze', 'first')}) WHERE event_date < DATE '2024-01-20'
+  UNION ALL SELECT * FROM ({pick('retail_bronze', 'last')}) WHERE event_date >= DATE '2024-01-20')""")
 ORACLES["stream_to_silver"] = sql(
     BRONZE_SQL, f"SELECT {EVENT}, event_time, ingestion_timestamp FROM ({pick('retail_bronze', 'last')})")
 ORACLES["add_partitions"] = sql(RETAIL_SQL, f"SELECT event_id, {PARTS} FROM retail_events")

@@ -16,7 +16,7 @@ from clickmill import schemas
 from clickmill.operators import analytics as A
 from clickmill.operators import dims, gold, governance, ingest, merge, oplogs, quality, silver
 from clickmill.plans import jobs
-from clickmill.sources import files, readers, writers
+from clickmill.sources import changes, files, readers, writers
 from clickmill.streaming import streams
 
 LO, HI = "2024-01-05", "2024-01-25"
@@ -393,6 +393,86 @@ def apply_changes(spark, sf_dir):
     return rows.select(*EVENT_COLUMNS, "ingestion_timestamp")
 
 
+def silver_changes(spark, sf_dir):
+    """Both copies of every event as typed silver rows; some of the later ones stand for deletes."""
+    rows = X.retail_bronze(spark, sf_dir).withColumn("price", F.col("price").cast("double"))
+    return silver.add_partitions(rows.drop("event_date", "value"))
+
+
+DELETES = "device = 'tablet' AND src_id % 50 = 0"
+
+
+def apply_changes_with_deletes(spark, sf_dir):
+    """Deletes arrive before the rows they delete, and one batch twice."""
+    path, rows = files.scratch(spark, "silver"), silver_changes(spark, sf_dir)
+    late, odd = F.col("device") == "tablet", F.col("src_id") % 2 == 1
+    for part in (late, ~late & odd, ~late & ~odd, ~late & odd):
+        writers.apply_changes_path(
+            spark, path, rows.filter(part), ["event_id"], "ingestion_timestamp", schemas.PARTITION_COLUMNS,
+            delete_when=DELETES, except_cols=["src_id"])
+    return spark.read.parquet(path).select(*EVENT_COLUMNS, "ingestion_timestamp")
+
+
+def deletes_in_memory(spark, sf_dir):
+    """The same with both states carried from call to call, the last batch first."""
+    rows = silver_changes(spark, sf_dir)
+    state, gone = None, None
+    for day in (21, 11, 1):
+        batch = rows.filter((F.dayofmonth("event_time") >= day) & (F.dayofmonth("event_time") < day + (10 if day < 21 else 99)))
+        state, gone = silver.apply_changes_with_deletes(
+            state, gone, batch, ["event_id"], "ingestion_timestamp", DELETES, except_cols=["src_id"])
+    return state.select(*EVENT_COLUMNS, "ingestion_timestamp").withColumn("is_deleted", F.lit(False)).unionByName(
+        gone.withColumn("is_deleted", F.lit(True)), allowMissingColumns=True)
+
+
+def upsert_bucketed(spark, sf_dir):
+    path = files.scratch(spark, "dealt")
+    for part in revenue_before_and_after(spark, sf_dir):
+        writers.upsert_bucketed(spark, path, part, ["event_date"], 8)
+    return writers.read_bucketed(spark, path)
+
+
+def three_versions(spark, sf_dir):
+    """A silver table whose history holds first copies, then later copies and new days, then a day without one country."""
+    path = files.scratch(spark, "versions")
+    bronze = X.retail_bronze(spark, sf_dir).drop("src_id", "value")
+    first = silver.add_partitions(silver.dedup(bronze, ["event_id"], "ingestion_timestamp", keep="first"))
+    last = silver.add_partitions(silver.dedup(bronze, ["event_id"], "ingestion_timestamp", keep="last"))
+    writers.write_partitions(first.filter(F.col("event_date") < "2024-01-28"), path, schemas.PARTITION_COLUMNS)
+    changes.keep_history(spark, path)
+    writers.upsert_path(spark, path, last.filter(F.col("event_date") >= "2024-01-10"), ["event_id"], schemas.PARTITION_COLUMNS)
+    fifth = first.filter((F.col("event_date") == "2024-01-05") & (F.col("country") != "KR"))
+    writers.write_partitions(fifth, path, schemas.PARTITION_COLUMNS)
+    return path, first.schema
+
+
+def version_feed(spark, sf_dir):
+    path, schema = three_versions(spark, sf_dir)
+    feed = changes.version_feed(spark, path, ["event_id"], 1, 3, schema)
+    return feed.select(*EVENT_COLUMNS, "_change_type")
+
+
+def read_version(spark, sf_dir):
+    path, schema = three_versions(spark, sf_dir)
+    rows = [changes.read_version(spark, path, schemas.PARTITION_COLUMNS, v, schema).groupBy("event_date", "device").agg(
+        F.count("*").alias("events")).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def corrected_to_gold(spark, sf_dir):
+    """Gold over a silver table whose later days are replaced, then compacted."""
+    path, out, mark = (files.scratch(spark, n) for n in ("silver", "gold", "mark"))
+    rows = X.retail_bronze(spark, sf_dir).withColumn("price", F.col("price").cast("double"))
+    for keep, since in (("first", "2024-01-01"), ("last", "2024-01-20")):
+        part = silver.dedup(rows.filter(F.col("event_date") >= since), ["event_id"], "ingestion_timestamp", keep=keep)
+        part = part.withColumns({c: F.col(c).cast("timestamp") for c in ("event_time", "ingestion_timestamp")})
+        writers.write_partitions(silver.add_partitions(part.drop("src_id", "event_date", "value")), path, schemas.PARTITION_COLUMNS)
+        jobs.run_gold(spark, path, out, mark, CLOCK)
+        writers.compact(spark, path, 4, ("user_id",), schemas.PARTITION_COLUMNS)
+    again = jobs.run_gold(spark, path, out, mark, CLOCK)
+    return spark.read.parquet(f"{out}/gold_events_by_device").drop("processing_timestamp").withColumn("ran_after_compaction", F.lit(again))
+
+
 def stream_to_silver(spark, sf_dir):
     """Bronze files in two deliveries, the second repeating part of the first."""
     landing, target = files.scratch(spark, "landing"), files.scratch(spark, "silver")
@@ -679,7 +759,8 @@ QUERIES = {f.__name__: f for f in (
     decode_payload, with_rejection_reason, enrich, route, ingest_summary, expect_or_drop,
     expectation_counts, classify, repair_price, repair_time, recovered, dead_letter, reason_breakdown,
     recovery_summary, quarantine_trend,
-    cast_types, duplicate_keys, dedup, apply_changes, stream_to_silver, add_partitions,
+    cast_types, duplicate_keys, dedup, apply_changes, apply_changes_with_deletes, deletes_in_memory, upsert_bucketed,
+    version_feed, read_version, corrected_to_gold, stream_to_silver, add_partitions,
     event_distribution, distinct_partitions, reconcile, to_fact, bronze_to_silver, stream_route,
     recover_quarantine, since_hwm, row_counts, dim_date, run_gold, recovered_to_gold, silver_expectations,
     weekday_sales, kpi_join, revenue_anomalies,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clickmill.operators import merge, silver
 from clickmill.plans import jobs
 from clickmill.schemas import PARTITION_COLUMNS
-from clickmill.sources import files, readers, writers
+from clickmill.sources import changes, files, readers, writers
 from clickmill.streaming.streams import latest_by_ingestion
 
 NOW = datetime(2024, 3, 1)
@@ -222,14 +222,14 @@ def test_stop_between_stage_and_delete(spark, monkeypatch):
     path, schema = files.scratch(spark, "stopped"), "k int, d string"
     writers.upsert_path(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], schema), ["k"], ("d",))
     real = writers._publish
-    monkeypatch.setattr(writers, "_publish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    monkeypatch.setattr(writers, "_publish", lambda *a, **k: (_ for _ in ()).throw(OSError("stopped")))
     with pytest.raises(OSError):
         writers.upsert_path(spark, path, spark.createDataFrame([(1, "b")], schema), ["k"], ("d",))
     monkeypatch.setattr(writers, "_publish", real)
     writers.finish_interrupted(spark, path, ("d",))
     assert sorted(map(tuple, spark.read.schema(schema).parquet(path).select("k", "d").collect())) == [(1, "b"), (2, "b")]
-    assert writers.newest_version(spark, path) == 2
-    assert writers.changed_partitions(spark, path, 1, 2) == [("a",), ("b",)]
+    assert changes.newest_version(spark, path) == 2
+    assert changes.changed_partitions(spark, path, 1, 2) == [("a",), ("b",)]
 
 
 def test_compact_keeps_partitions(spark):
