@@ -253,3 +253,49 @@ def revenue_anomalies(
     outside = (F.col("y") < F.col("lower_bound")) | (F.col("y") > F.col("upper_bound"))
     scored = scored.withColumn("is_anomaly", F.coalesce(outside, F.lit(False)))
     return scored.filter("is_anomaly") if flagged_only else scored
+
+
+def fit_season(series: DataFrame, until: str) -> DataFrame:
+    """Least-squares model y = level of the weekday + slope * day, fitted on the days up to ``until``.
+
+    One row per weekday with its level, and the common slope, residual deviation and number of
+    training days. Both come from sums per weekday: the slope from deviations within weekdays,
+    which is the least-squares slope beside weekday levels; without two weeks it is 0. The
+    deviation divides by the days less the weekdays and the slope; without a day to spare it
+    is missing.
+    """
+    days = _numbered(series).filter((F.col("ts") <= F.lit(until).cast("timestamp_ntz")) & F.col("y").isNotNull())
+    per_weekday = days.groupBy("weekday").agg(
+        F.count("*").alias("n"), F.avg("day").alias("mean_day"), F.avg("y").alias("mean_y"),
+        F.regr_sxx("y", "day").alias("sxx"), F.regr_sxy("y", "day").alias("sxy"), F.regr_syy("y", "day").alias("syy"))
+    whole = per_weekday.agg(
+        F.sum("sxx").alias("sxx"), F.sum("sxy").alias("sxy"), F.sum("syy").alias("syy"), F.sum("n").alias("training_days"),
+        F.count("*").alias("weekdays"), F.collect_list(F.struct("weekday", "mean_day", "mean_y")).alias("levels"))
+    slope = F.coalesce(F.try_divide("sxy", "sxx"), F.lit(0.0))
+    spare = F.col("training_days") - F.col("weekdays") - F.when(F.col("sxx") > 0, 1).otherwise(0)
+    left = F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(0.0))
+    return whole.withColumn("slope", slope).select(
+        F.inline("levels"), "slope", F.sqrt(F.when(spare > 0, left / spare)).alias("deviation"), "training_days",
+    ).select("weekday", (F.col("mean_y") - F.col("slope") * F.col("mean_day")).alias("level"), "slope", "deviation", "training_days")
+
+
+def detect_season(series: DataFrame, model: DataFrame, k: float = 3.0, after: str | None = None) -> DataFrame:
+    """Forecast and interval of each day (after ``after``), and whether the day lies outside.
+
+    A weekday that training has not seen has no forecast and is no anomaly.
+    """
+    days = _numbered(series)
+    if after is not None:
+        days = days.filter(F.col("ts") > F.lit(after).cast("timestamp_ntz"))
+    forecast = F.col("level") + F.col("slope") * F.col("day")
+    scored = days.join(model, "weekday", "left").select(
+        "ts", "y", forecast.alias("forecast"), (forecast - k * F.col("deviation")).alias("lower_bound"),
+        (forecast + k * F.col("deviation")).alias("upper_bound"))
+    outside = (F.col("y") < F.col("lower_bound")) | (F.col("y") > F.col("upper_bound"))
+    return scored.withColumn("is_anomaly", F.coalesce(outside, F.lit(False)))
+
+
+def _numbered(series: DataFrame) -> DataFrame:
+    """Weekday (Sunday = 0) and number of each day of a series."""
+    day = F.datediff(F.to_date("ts"), F.lit("2000-01-01").cast("date"))
+    return series.select("ts", "y", (F.dayofweek("ts") - 1).alias("weekday"), day.cast("double").alias("day"))

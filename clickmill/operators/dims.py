@@ -9,15 +9,33 @@ from clickmill.operators.gold import BUY, CART, VIEW, is_type, money_in
 
 
 def dim_users(fact: DataFrame) -> DataFrame:
-    """One row per user: activity span, usual device and country, totals."""
-    return fact.groupBy("user_id").agg(
-        F.min("event_time").alias("first_seen"),
-        F.max("event_time").alias("last_seen"),
-        F.mode("device", deterministic=True).alias("primary_device"),
-        F.mode("country", deterministic=True).alias("primary_country"),
-        F.count("*").alias("total_events"),
-        F.count_if(is_type(BUY)).alias("total_purchases"),
-        F.coalesce(F.sum(money_in()), F.lit(0)).cast("decimal(12,2)").alias("total_revenue"),
+    """One row per user: activity span, usual device and country, totals.
+
+    Rows are first counted per user, device and country, on the map side too, so a user with
+    very many events is a few rows by the time all of them meet. The usual value is the most
+    frequent one, on a tie the smallest.
+    """
+    places = fact.groupBy("user_id", "device", "country").agg(
+        F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"), F.count("*").alias("n"),
+        F.count_if(is_type(BUY)).alias("bought"), F.sum(money_in()).alias("revenue"))
+    # Once per device, once per country: (negative count, value), whose least one is the usual value.
+    both = places.select(
+        "user_id", "first_seen", "last_seen", "n", "bought", "revenue",
+        F.inline(F.array(F.struct(F.lit(True).alias("is_device"), F.col("device").alias("value")),
+                         F.struct(F.lit(False).alias("is_device"), F.col("country").alias("value")))))
+    per_value = both.groupBy("user_id", "is_device", "value").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.sum("n").alias("n"), F.sum("bought").alias("bought"), F.sum("revenue").alias("revenue"))
+    device, known = F.col("is_device"), F.col("value").isNotNull()
+    ranked = F.struct(-F.col("n"), F.col("value").alias("value"))
+    return per_value.groupBy("user_id").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.min(F.when(device & known, ranked))["value"].alias("primary_device"),
+        F.min(F.when(~device & known, ranked))["value"].alias("primary_country"),
+        F.sum(F.when(device, F.col("n"))).alias("total_events"),
+        F.sum(F.when(device, F.col("bought"))).alias("total_purchases"),
+        F.coalesce(F.sum(F.when(device, F.col("revenue"))), F.lit(0)).cast("decimal(12,2)").alias("total_revenue"),
     )
 
 

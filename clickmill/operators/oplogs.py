@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickmill.functions.curve import order_number, quantile_bounds, rank_bucket
 from clickmill.functions.rollup import percentile_of_counts, value_counts
 from clickmill.schemas import EXPECTATION_RESULTS
 
@@ -43,6 +44,16 @@ def expectation_report(log: DataFrame) -> DataFrame:
     ).orderBy(F.desc("timestamp"), "rule_name")
 
 
+def expectation_events(counts: dict[str, dict[str, int]], table: str, dataset: str, now, spark: SparkSession) -> DataFrame:
+    """One log row with the passed and failed records of each rule, as ``expectation_report`` reads it."""
+    rules = [(name, dataset, int(c["passed"]), int(c["failed"])) for name, c in counts.items()]
+    listed = spark.createDataFrame([(str(now), rules)], f"at string, expectations {EXPECTATION_RESULTS}")
+    flow = F.struct(F.lit(table).alias("name"), F.struct("expectations").alias("data_quality"))
+    return listed.select(
+        F.col("at").cast("timestamp_ntz").alias("timestamp"), F.lit("flow_progress").alias("event_type"),
+        F.to_json(F.struct(flow.alias("flow_progress"))).alias("details"))
+
+
 def sla_report(log: DataFrame) -> DataFrame:
     """Completed runs and whether they left nothing behind."""
     runs = log.filter(F.col("event_type") == "update_progress").select(
@@ -255,25 +266,57 @@ def file_ranges(table: DataFrame, col: str) -> DataFrame:
     )
 
 
+def footer_ranges(spark: SparkSession, path: str, cols: tuple[str, ...], col: str) -> DataFrame:
+    """Least and greatest value of a column per partition, from the Parquet footers.
+
+    Spark answers minimum, maximum and count per partition from the files' statistics when
+    its newer Parquet source may push aggregates down; a session of its own has that set, so
+    other reads stay as they are. Types without exact statistics (texts, times) are scanned.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionColumnTypeInference.enabled", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    return own.read.parquet(path).groupBy(*cols).agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count("*").alias("rows"))
+
+
+#: Value ranges that the ends of file ranges are dealt into, as a power of two.
+SWEEP_BITS = 6
+
+
 def layout_health(ranges: DataFrame) -> DataFrame:
-    """How far the value ranges of a table's files overlap.
+    """How far the value ranges of a table's files (or partitions) overlap.
 
     ``average_depth`` is the mean, over files, of how many files cover the lower
     end of a file's range (1.0 is perfectly clustered); ``average_overlaps`` is
-    the mean number of other files a file intersects. Both come from ordering
-    the range ends once, two rows per file, instead of joining files to files.
+    the mean number of other files a file intersects. Both come from a sweep over the
+    range ends, two rows per file, instead of joining files to files: ends are dealt into
+    value ranges of like size, each range is ordered on its own, and starts with the numbers
+    of ends that all ranges before it hold.
     """
     ends = ranges.filter(F.col("lo").isNotNull()).select(F.inline(F.array(
         F.struct(F.col("lo").alias("at"), F.lit(0).alias("is_end")),
         F.struct(F.col("hi").alias("at"), F.lit(1).alias("is_end")),
     )))
-    before = Window.partitionBy().orderBy("at", "is_end").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    opened = F.count_if(F.col("is_end") == 0).over(before)
-    closed = F.count_if(F.col("is_end") == 1).over(before)
-    seen = ends.select("is_end", opened.alias("opened"), closed.alias("closed"))
+    number = order_number(ends, "at")
+    slot = rank_bucket(number, quantile_bounds(ends, {"at": number}, SWEEP_BITS)["at"], SWEEP_BITS)
+    ends = ends.withColumn("slot", slot)
     start, end = F.col("is_end") == 0, F.col("is_end") == 1
+    held = ends.groupBy("slot").agg(F.count_if(start).alias("opened"), F.count_if(end).alias("closed"))
+    # At most 2**SWEEP_BITS rows: each range takes the sums of the ranges before it.
+    every = F.collect_list(F.struct("slot", "opened", "closed"))
+
+    def carried(slots: Column, slot: Column, name: str) -> Column:
+        return F.aggregate(slots, F.lit(0).cast("long"), lambda n, s: n + F.when(s["slot"] < slot, s[name]).otherwise(0))
+
+    before = held.agg(every.alias("every")).select(F.inline(F.transform("every", lambda s: F.struct(
+        s["slot"].alias("slot"), carried(F.col("every"), s["slot"], "opened").alias("opened_before"),
+        carried(F.col("every"), s["slot"], "closed").alias("closed_before")))))
+    inside = Window.partitionBy("slot").orderBy("at", "is_end").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = ends.join(before, "slot").select(
+        "is_end", (F.col("opened_before") + F.count_if(start).over(inside)).alias("opened"),
+        (F.col("closed_before") + F.count_if(end).over(inside)).alias("closed"))
     depth = F.col("opened") - F.col("closed")
     sums = seen.agg(
         F.count_if(start).alias("files"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickmill import constants as C
@@ -45,6 +45,20 @@ def expectation_counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     return passed.select(F.inline(per_rule))
 
 
+def observed(df: DataFrame, rules: dict[str, str], seen: Observation) -> DataFrame:
+    """``df``, whose next action also counts the rows on which each rule holds.
+
+    The counts cost no pass of their own. A task that is run again after a failure counts
+    its rows again.
+    """
+    passed = [F.count_if(_holds(p)).alias(name) for name, p in rules.items()]
+    return df.observe(seen, F.count("*").alias("_all"), *passed)
+
+
+def observed_counts(found: dict[str, int], rules: dict[str, str]) -> dict[str, dict[str, int]]:
+    return {name: {"passed": found[name], "failed": found["_all"] - found[name]} for name in rules}
+
+
 def classify(df: DataFrame, repairable: tuple[str, ...] = C.REPAIRABLE_REASONS) -> DataFrame:
     """Add ``is_repairable``; a missing reason means it cannot be repaired."""
     known = F.coalesce(F.col("rejection_reason").isin(*repairable), F.lit(False))

@@ -4,29 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill import schemas
-from clickmill.operators import dims, gold, ingest, merge, quality, silver
+from clickmill.operators import dims, gold, ingest, merge, oplogs, quality, silver, state
 from clickmill.sources import changes, files, readers, writers
-from clickmill.streaming.streams import SILVER_RULES, clean_bronze, refused_bronze
+from clickmill.streaming.streams import SILVER_RULES, clean_typed, refused_bronze
 
 
 def bronze_to_silver(
     spark: SparkSession, bronze: str, dst: str, quarantine: str | None = None, now: datetime | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """Batch run: type, keep the earliest copy, replace partitions.
 
     Rows that fail a silver expectation (no event id, no readable time) go to
-    ``quarantine`` if it is given, stamped ``now``.
+    ``quarantine`` if it is given, stamped ``now``. With ``log`` the run counts, while it
+    writes, how many records pass and fail each expectation, and adds them to that event log.
     """
     raw = readers.read_ndjson(spark, bronze, schemas.BRONZE)
-    unique = silver.dedup(clean_bronze(raw), ["event_id"], "ingestion_timestamp", keep="first")
+    seen = Observation("expectations")
+    watched = quality.observed(silver.cast_types(raw), SILVER_RULES, seen) if log is not None else silver.cast_types(raw)
+    unique = silver.dedup(clean_typed(watched), ["event_id"], "ingestion_timestamp", keep="first")
     writers.staged_overwrite(unique, dst, schemas.PARTITION_COLUMNS)
+    if log is not None:
+        counts = quality.observed_counts(seen.get, SILVER_RULES)
+        writers.append_table(oplogs.expectation_events(counts, "events_silver", "events_bronze", now, spark), log)
     if quarantine is not None:
         writers.append_ndjson(refused_bronze(raw, now), quarantine, "_at")
     return readers.read_table(spark, dst, schemas.SILVER)
@@ -162,6 +169,59 @@ def refresh_derived(spark: SparkSession, fact: Callable[[], DataFrame], base: st
     return done
 
 
+#: Grains of the daily state, and the folded tables kept from each: per day, and over a period.
+STATE_GRAINS: dict[str, list[str]] = {"all": [], "device": ["device"], "product": ["product_id"]}
+STATE_PERIOD = "week"
+
+
+def refresh_state(
+    spark: SparkSession, silver_path: str, base: str, mark_path: str, now: datetime, lag: timedelta | None = None,
+) -> bool:
+    """Bring the daily state and the tables folded from it up to date with a silver table.
+
+    Only partitions that the change log names since the mark are read; their days' state is
+    replaced, the daily figures of these days and the figures of the weeks they lie in are
+    folded from the state. With ``lag`` nothing is done while the last run is younger. The
+    mark moves last, and a repeated run rewrites the same. Returns whether it ran.
+    """
+    mark = int(writers.read_hwm(spark, mark_path, default="0"))
+    newest = changes.newest_version(spark, silver_path)
+    touched = changes.changed_partitions(spark, silver_path, mark, newest)
+    if not touched:
+        return False
+    if lag is not None and files.is_table(spark, mark_path):
+        last = spark.read.schema(writers.HWM_SCHEMA).json(mark_path).agg(F.max("updated_at").cast("string")).first()[0]
+        if last is not None and now - datetime.fromisoformat(last) < lag:
+            return False
+    events = readers.read_table(spark, silver_path, schemas.SILVER)
+    fresh = events.filter(merge.touched_predicate(schemas.PARTITION_COLUMNS, touched))
+    dates = [date(*map(int, v)) for v in touched if None not in v]
+    for grain, by in STATE_GRAINS.items():
+        where = f"{base}/state_{grain}"
+        _replace_dates(spark, state.daily_state(fresh, by), where, "event_date", dates)
+        if not files.is_table(spark, where):
+            continue
+        schema = state.daily_state(fresh.limit(0), by).schema
+        kept = readers.read_table(spark, where, schema)
+        days = kept.filter(F.col("event_date").isin(dates))
+        _replace_dates(spark, state.fold(days, ["event_date", *by]), f"{base}/daily_{grain}", "event_date", dates)
+        firsts = sorted({d - timedelta(days=d.weekday()) for d in dates})
+        in_weeks = reduce(Column.__or__, [F.col("event_date").between(d, d + timedelta(days=6)) for d in firsts], F.lit(False))
+        weeks = state.fold(kept.filter(in_weeks), [state.period(STATE_PERIOD), *by])
+        _replace_dates(spark, weeks, f"{base}/weekly_{grain}", "period", firsts)
+    writers.write_hwm(spark, mark_path, str(newest), now)
+    return True
+
+
+def _replace_dates(spark: SparkSession, df: DataFrame, path: str, column: str, dates: list[date]) -> None:
+    """Replace the named dates' partitions; a date without rows any more loses its partition."""
+    writers.finish_interrupted(spark, path, (column,))
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    left = {r[0] for r in df.select(column).distinct().collect()}
+    writers.staged_overwrite(df, path, (column,), emptied=[(d,) for d in dates if d not in left])
+    df.unpersist()
+
+
 def export_gold(
     spark: SparkSession, gold_dir: str, fmt: str, options: Callable[[str], dict[str, str]],
     mode: str = "overwrite",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill.constants import FIRST_HIGH_WATER_MARK
+from clickmill.functions.curve import z_value
 from clickmill.operators import silver
 from clickmill.operators.merge import touched_predicate, upsert
 from clickmill.operators.silver import add_partitions
@@ -286,11 +287,13 @@ def _table_schema(
 def compact(
     spark: SparkSession, path: str, target_files: int,
     cluster_cols: tuple[str, ...] = (), cols: tuple[str, ...] = (), only: list[tuple] | None = None,
+    curve: bool = False,
 ) -> None:
     """Rewrite a table, or ``only`` some of its partitions, into about ``target_files`` files.
 
-    Files are ordered by ``cluster_cols``. ``cols`` are the table's partition columns; a
-    partitioned table is not taken for one without.
+    Files are ordered by ``cluster_cols``, the first above the second and so on; with
+    ``curve`` along a Z-order curve that serves ranges of each of them. ``cols`` are the
+    table's partition columns; a partitioned table is not taken for one without.
 
     A row hash ends the range key, so one value that fills much of the table is
     spread over several files instead of one task.
@@ -305,7 +308,7 @@ def compact(
     table = spark.read.schema(schema).parquet(path)
     if only is not None:
         table = table.filter(touched_predicate(cols, only))
-    order = [*cols, *cluster_cols]
+    order = [*map(F.col, cols), *([z_value(table, cluster_cols)] if curve else map(F.col, cluster_cols))]
     if order:
         row_hash = F.xxhash64(*table.columns)
         table = table.repartitionByRange(target_files, *order, row_hash).sortWithinPartitions(*order)

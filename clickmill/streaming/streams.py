@@ -65,10 +65,12 @@ def stream_load(
 
 def clean_bronze(bronze: DataFrame) -> DataFrame:
     """Typed, complete bronze rows with their partition columns."""
-    typed = silver.cast_types(bronze).filter(
-        F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
-    )
-    return silver.add_partitions(typed.drop("processing_date"))
+    return clean_typed(silver.cast_types(bronze))
+
+
+def clean_typed(typed: DataFrame) -> DataFrame:
+    complete = typed.filter(F.col("event_id").isNotNull() & F.col("event_time").isNotNull())
+    return silver.add_partitions(complete.drop("processing_date"))
 
 
 #: What silver expects of a typed row; the name of the first rule that fails is the reason.

@@ -472,3 +472,50 @@ ORACLES["recovered_to_gold"] = sql(RAW_SQL, f"""
 ORACLES["silver_expectations"] = sql(BRONZE_SQL, """SELECT 'event_id_missing' AS rule_name,
   count(*) FILTER (src_id % 11 <> 0) AS passed_records, count(*) FILTER (src_id % 11 = 0) AS failed_records FROM retail_bronze
   UNION ALL SELECT 'event_time_unreadable', count(*) FILTER (src_id % 7 <> 0), count(*) FILTER (src_id % 7 = 0) FROM retail_bronze""")
+
+# --- clustering, incremental state, run reports -------------------------------
+ORACLES["footer_ranges"] = sql(RETAIL_SQL, f"""SELECT {PARTS}, min(product_id) AS lo, max(product_id) AS hi, count(*) AS "rows"
+  FROM retail_events GROUP BY ALL""")
+ORACLES["layout_health"] = sql(RETAIL_SQL, """SELECT count(*) AS files, avg(depth) AS average_depth, max(depth) AS max_depth,
+  avg(met) AS average_overlaps FROM (SELECT
+  (SELECT count(*) FROM ranges o WHERE o.lo <= r.lo AND o.hi >= r.lo) AS depth,
+  (SELECT count(*) FROM ranges o WHERE o.lo <= r.hi AND o.hi >= r.lo) - 1 AS met FROM ranges r)""",
+    "ranges AS (SELECT min(user_id) AS lo, max(user_id) AS hi FROM retail_events GROUP BY event_date)")
+ORACLES["compact_on_curve"] = sql(RETAIL_SQL, f"SELECT {EVENT}, true AS fewer_files FROM retail_events")
+_FIGURES = """count(DISTINCT user_id) AS users,
+  count(DISTINCT CASE WHEN event_type = 'product_view' THEN user_id END) AS viewers,
+  count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS purchasers, count(*) AS events,
+  count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchases,
+  CAST(sum(CASE WHEN event_type = 'purchase' THEN price END) AS DOUBLE) AS revenue"""
+_WEEK = "CAST(CAST(date_trunc('week', event_date) AS DATE) AS VARCHAR)"
+ORACLES["refresh_state"] = sql(
+    BRONZE_SQL, " UNION ALL ".join(
+        f"SELECT '{name}' AS name, {day} AS day, {item} AS item, {_FIGURES} FROM now_rows WHERE {item} IS NOT NULL GROUP BY 2, 3"
+        for name, day, item in (
+            ("daily_all", "CAST(event_date AS VARCHAR)", "''"), ("weekly_all", _WEEK, "''"),
+            ("daily_device", "CAST(event_date AS VARCHAR)", "device"), ("weekly_device", _WEEK, "device"),
+            ("weekly_product", _WEEK, "CAST(product_id AS VARCHAR)"))),
+    f"""now_rows AS (SELECT * FROM ({pick('retail_bronze', 'first')}) WHERE event_date < DATE '2024-01-20'
+    AND NOT (event_date = DATE '2024-01-05' AND country = 'KR')
+  UNION ALL SELECT * FROM ({pick('retail_bronze', 'last')}) WHERE event_date >= DATE '2024-01-20')""")
+ORACLES["run_expectations"] = sql(BRONZE_SQL, """SELECT TIMESTAMP '2024-03-01 00:00:00' AS timestamp,
+  'events_silver' AS table_name, rule_name, passed, n - passed AS failed, round((n - passed) * 100.0 / n, 2) AS failure_pct FROM (
+  SELECT 'event_id_missing' AS rule_name, count(*) FILTER (device <> 'tablet') AS passed, count(*) AS n FROM retail_bronze
+  UNION ALL SELECT 'event_time_unreadable', count(*) FILTER (country <> 'KR'), count(*) FROM retail_bronze)""")
+ORACLES["export_gold"] = sql(RETAIL_SQL, """SELECT CAST(event_date AS VARCHAR) AS event_date, exported, name FROM (
+  SELECT event_date, 1::BIGINT AS exported, unnest(['gold_daily_active_users', 'gold_conversion_funnel']) AS name FROM retail_events GROUP BY 1
+  UNION ALL SELECT event_date, 1, 'gold_daily_revenue' FROM retail_events WHERE event_type = 'purchase' AND price IS NOT NULL GROUP BY 1
+  UNION ALL SELECT event_date, count(DISTINCT product_id), 'gold_top_products' FROM retail_events WHERE product_id IS NOT NULL GROUP BY 1
+  UNION ALL SELECT event_date, count(DISTINCT device), 'gold_events_by_device' FROM retail_events GROUP BY 1)""")
+ORACLES["seasonal_anomalies"] = sql(RETAIL_SQL, """SELECT ts, y, round(forecast, 3) AS forecast,
+  round(forecast - deviation, 3) AS lower_bound, round(forecast + deviation, 3) AS upper_bound,
+  coalesce(y < forecast - deviation OR y > forecast + deviation, false) AS is_anomaly FROM (
+  SELECT ts, y, mean_y + slope * (day - mean_day) AS forecast, deviation FROM series
+  LEFT JOIN weekdays USING (weekday), whole WHERE ts > TIMESTAMP '2024-01-21')""",
+    f"""series AS (SELECT CAST(event_date AS TIMESTAMP) AS ts, total_revenue AS y, dayofweek(CAST(event_date AS DATE)) AS weekday,
+    CAST(date_diff('day', DATE '2000-01-01', CAST(event_date AS DATE)) AS DOUBLE) AS day FROM ({REVENUE.format(src='retail_events')})),
+  training AS (SELECT * FROM series WHERE ts <= TIMESTAMP '2024-01-21'),
+  weekdays AS (SELECT weekday, avg(day) AS mean_day, avg(y) AS mean_y FROM training GROUP BY 1),
+  whole AS (SELECT slope, sqrt(sum((y - mean_y - slope * (day - mean_day)) ** 2) / (count(*) - count(DISTINCT weekday) - 1)) AS deviation
+    FROM training JOIN weekdays USING (weekday), (SELECT sum((day - mean_day) * (y - mean_y)) / sum((day - mean_day) ** 2) AS slope
+    FROM training JOIN weekdays USING (weekday)) GROUP BY slope)""")

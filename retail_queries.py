@@ -650,6 +650,14 @@ def revenue_anomalies(spark, sf_dir):
     return scored.select("ts", "y", *[F.round(c, 4).alias(c) for c in bounds], "is_anomaly")
 
 
+def seasonal_anomalies(spark, sf_dir):
+    """A model of the first three weeks, applied to the days after them."""
+    series = A.revenue_series(gold.daily_revenue(X.retail_events(spark, sf_dir)))
+    scored = A.detect_season(series, A.fit_season(series, "2024-01-21"), k=1.0, after="2024-01-21")
+    bounds = ["forecast", "lower_bound", "upper_bound"]
+    return scored.select("ts", "y", *[F.round(c, 3).alias(c) for c in bounds], "is_anomaly")
+
+
 # --- governance --------------------------------------------------------------
 
 def mask_column(spark, sf_dir):
@@ -737,8 +745,72 @@ def freshness(spark, sf_dir):
 
 
 def layout_health(spark, sf_dir):
+    """Overlap of the user id ranges of the days, by the ranges that the footers give."""
     path = silver_table(spark, sf_dir)
-    return oplogs.layout_health(oplogs.file_ranges(spark.read.parquet(path), "user_id"))
+    return oplogs.layout_health(oplogs.footer_ranges(spark, path, schemas.PARTITION_COLUMNS, "user_id"))
+
+
+def footer_ranges(spark, sf_dir):
+    return oplogs.footer_ranges(spark, silver_table(spark, sf_dir), schemas.PARTITION_COLUMNS, "product_id")
+
+
+def compact_on_curve(spark, sf_dir):
+    """Files along a curve of two columns: the rows stay, and a range of the second meets fewer files than in plain order."""
+    depth, path = [], ""
+    for curve in (False, True):
+        path = files.scratch(spark, "clustered")
+        X.retail_events(spark, sf_dir).select(*EVENT_COLUMNS).write.parquet(path)
+        writers.compact(spark, path, 16, ("user_id", "event_id"), curve=curve)
+        ranges = oplogs.file_ranges(spark.read.parquet(path), "event_id")
+        depth.append(oplogs.layout_health(ranges).first().average_depth)
+    return spark.read.parquet(path).withColumn("fewer_files", F.lit(depth[1] < depth[0]))
+
+
+def refresh_state(spark, sf_dir):
+    """State and folded tables after a first load, later copies of some days, and a day without one country."""
+    path, base, mark = (files.scratch(spark, n) for n in ("silver", "state", "mark"))
+    rows = X.retail_bronze(spark, sf_dir).withColumn("price", F.col("price").cast("double")).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("event_time", "ingestion_timestamp")}).drop("src_id", "value")
+    first, last = (silver.add_partitions(silver.dedup(rows, ["event_id"], "ingestion_timestamp", keep=k)) for k in ("first", "last"))
+    steps = (first.filter(F.col("event_date") < "2024-01-28"), last.filter(F.col("event_date") >= "2024-01-20"),
+             first.filter((F.col("event_date") == "2024-01-05") & (F.col("country") != "KR")))
+    for i, step in enumerate(steps):
+        writers.write_partitions(step.drop("event_date"), path, schemas.PARTITION_COLUMNS)
+        jobs.refresh_state(spark, path, base, mark, CLOCK + timedelta(days=i))
+
+    def figures(name, day, item):
+        return spark.read.parquet(f"{base}/{name}").select(
+            F.lit(name).alias("name"), F.col(day).cast("string").alias("day"), item.cast("string").alias("item"),
+            "users", "viewers", "purchasers", "events", "purchases", "revenue")
+
+    return reduce(DataFrame.unionByName, [
+        figures("daily_all", "event_date", F.lit("")), figures("weekly_all", "period", F.lit("")),
+        figures("daily_device", "event_date", F.col("device")), figures("weekly_device", "period", F.col("device")),
+        figures("weekly_product", "period", F.col("product_id"))])
+
+
+def run_expectations(spark, sf_dir):
+    """What a bronze-to-silver run itself reports of its expectations, read from its event log."""
+    bronze, log = files.scratch(spark, "bronze"), files.scratch(spark, "log")
+    broken = {"event_id": F.when(F.col("device") != "tablet", F.col("event_id")),
+              "event_time": F.when(F.col("country") == "KR", F.lit("soon")).otherwise(F.col("event_time"))}
+    wire_rows(X.retail_bronze(spark, sf_dir)).withColumns(broken).write.json(bronze)
+    jobs.bronze_to_silver(spark, bronze, files.scratch(spark, "silver"), now=CLOCK, log=log)
+    return oplogs.expectation_report(spark.read.parquet(log))
+
+
+def export_gold(spark, sf_dir):
+    """Every gold table that a run has made, handed to another format twice; rows per table and day."""
+    path, out, target, mark = (files.scratch(spark, n) for n in ("silver", "gold", "export", "mark"))
+    rows = X.retail_events(spark, sf_dir).withColumn("price", F.col("price").cast("double")).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("event_time", "ingestion_timestamp")})
+    writers.write_partitions(silver.add_partitions(rows.drop("src_id", "event_date", "value")), path, schemas.PARTITION_COLUMNS)
+    jobs.run_gold(spark, path, out, mark, CLOCK)
+    for _ in range(2):
+        jobs.export_gold(spark, out, "orc", lambda name: {"path": f"{target}/{name}"})
+    return reduce(DataFrame.unionByName, [
+        spark.read.orc(f"{target}/{name}").groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+            F.count("*").alias("exported")).withColumn("name", F.lit(name)) for name in gold.GOLD_TABLES])
 
 
 def stream_status_by_bin(spark, sf_dir):
@@ -765,7 +837,8 @@ QUERIES = {f.__name__: f for f in (
     recover_quarantine, since_hwm, row_counts, dim_date, run_gold, recovered_to_gold, silver_expectations,
     weekday_sales, kpi_join, revenue_anomalies,
     mask_column, hash_mask, mask_user_id, row_security,
-    latency_by_bin, alerts, freshness, layout_health, stream_status_by_bin,
+    latency_by_bin, alerts, freshness, layout_health, footer_ranges, compact_on_curve, refresh_state, run_expectations,
+    export_gold, seasonal_anomalies, stream_status_by_bin,
 )}
 QUERIES.update({f"{n}_reason": family(n) for n in ("schema", "type", "enum", "anomaly")})
 QUERIES.update({
