@@ -10,20 +10,24 @@ most eps = 1 - threshold.
    |A| - need + 1 shingles covers every link: the window of this level. The order puts
    shingles that a merged count sketch of all documents reports common last, so regions of
    common passages hold only documents made of little else.
+   Two documents first meet in the region of the first shingle that both have. Whoever has
+   that shingle at place i of its order shares at most |A| - i shingles with the other, so
+   members of a region that reach no size in it are left out, and so are pairs.
 2. Regions of up to LEAF documents compare all of them. In larger ones PIVOTS documents
-   become pivots, each document's distance to each is computed, it belongs to the nearest
-   pivot p and, by the triangle inequality, may link with documents of pivot q only if
-   d(x, q) <= d(x, p) + 2 eps: it is replicated to those. Regions are joined again the same
-   way. Whoever links with a pivot has joined its component, and a region all of whose
-   documents are in one component is finished: it can add nothing. Regions with the same
-   documents are one, and a region that a pivot's region holds whole goes on only once. Distances here are those
-   of the documents' profiles, the numbers of their shingles in CELLS hash cells, by the
+   become pivots, those with the fewest own (rare) shingles before the region's, which near
+   copies of one text have nearest in their middle. Each document's distance to each pivot is
+   computed, it belongs to the nearest pivot p and, by the triangle inequality, may link with
+   documents of pivot q only if d(x, q) <= d(x, p) + 2 eps: it is replicated to those. Whoever
+   links with a pivot has joined its component, and a region all of whose documents are in one
+   component is finished: it can add nothing. Regions with the same documents are one, and a
+   region that a pivot's region holds whole goes on only once. Distances here are those of
+   the documents' profiles, the numbers of their shingles in CELLS hash cells, by the
    Jaccard distance of multisets. That is a metric too and never more than d, so windows
    stay right with it; and pairs of profiles further apart than eps cannot link. Only the
    pairs left are compared by their whole sets.
 3. Unrelated documents are all at distances near 1, where the triangle inequality separates
    nothing. What ROUNDS rounds leave is compared in blocks of BLOCK documents, block against
-   block, but for pairs that are of one component already.
+   block, but for pairs that are of one component already or out of reach.
 
 Document pivots alone would replicate nearly every document everywhere; hence the first
 level. All links found are between exact sets; connected components give the groups.
@@ -105,7 +109,7 @@ def _dealt(width: int, percent: int, common, shared):
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             keys = batch.column("doc_key").to_numpy()
-            n, low, high, regions, of, counts = [], [], [], [], [], []
+            n, low, high, regions, places, of, counts = [], [], [], [], [], [], []
             # Of equal sets the copy with the smallest key posts: only that can be the head of its class.
             seen: dict[tuple[int, int], int] = {}
             for doc, one in enumerate(_sets_of(batch, width)):
@@ -115,7 +119,9 @@ def _dealt(width: int, percent: int, common, shared):
                 high.append(int(np.bitwise_xor.reduce(mix(one + U(1)))) if len(one) else 0)
                 if len(one) and (at := seen.setdefault((low[-1], high[-1]), len(of))) == len(of):
                     first = _own_regions(one, common.value, percent)
-                    regions.append(first[shared.value.reached(mix(first))])
+                    place = np.flatnonzero(shared.value.reached(mix(first)))
+                    regions.append(first[place])
+                    places.append(place)
                     of.append(doc)
                 elif len(one) and keys[doc] < keys[of[at]]:
                     of[at] = doc
@@ -123,17 +129,17 @@ def _dealt(width: int, percent: int, common, shared):
             none = np.zeros(len(n), np.int64)
             yield from batches({
                 "posting": np.zeros(len(n), bool), "region": none, "doc": keys, "size": n, "low": np.array(low, U).view(np.int64),
-                "high": np.array(high, U).view(np.int64), "doc_id": batch.column("doc_id"), "profile": pa.array(counts, pa.binary())})
+                "high": np.array(high, U).view(np.int64), "doc_id": batch.column("doc_id"), "profile": pa.array(counts, pa.binary()), "place": none})
             if regions:
                 which, region = np.repeat(of, list(map(len, regions))), np.concatenate(regions).view(np.int64)
                 yield from batches({
                     "posting": np.ones(len(which), bool), "region": region, "doc": keys[which], "size": n[which],
                     "low": none[:1].repeat(len(which)), "high": none[:1].repeat(len(which)), "doc_id": keys[which],
-                    "profile": pa.nulls(len(which), pa.binary())})
+                    "profile": pa.nulls(len(which), pa.binary()), "place": np.concatenate(places)})
     return run
 
 
-_DEALT = "posting boolean, region long, doc long, size long, low long, high long, doc_id long, profile binary"
+_DEALT = "posting boolean, region long, doc long, size long, low long, high long, doc_id long, profile binary, place long"
 
 
 def _shared_shingles(width: int):
@@ -197,8 +203,19 @@ def _doc_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield mix(batch.column("doc_key").to_numpy().astype(U))
 
 
+def _reach(size, place, other, percent: int):
+    """Whether a set of this size, whose shingle at `place` is the first that it shares, can share enough with one of size `other`.
+
+    It shares nothing before that place, so at most size - place shingles, and a link needs
+    percent / (100 + percent) of both sizes together.
+    """
+    return (size - place) * (100 + percent) >= (size + other) * percent
+
+
 def _sizes_fit(percent: int):
-    return F.least("size_u", "size_v") * 100 >= F.greatest("size_u", "size_v") * percent
+    u, v = F.col("size_u"), F.col("size_v")
+    return ((F.least(u, v) * 100 >= F.greatest(u, v) * percent)
+            & _reach(u, F.col("place_u"), v, percent) & _reach(v, F.col("place_v"), u, percent))
 
 
 def _sides(rows: DataFrame, *by: str) -> tuple[DataFrame, DataFrame]:
@@ -208,7 +225,7 @@ def _sides(rows: DataFrame, *by: str) -> tuple[DataFrame, DataFrame]:
 
 def _leaf_pairs(regions: DataFrame, percent: int) -> DataFrame:
     """All pairs of regions of at most LEAF documents."""
-    left, right = _sides(regions.select("region", "doc", "size"), "region")
+    left, right = _sides(regions.select("region", "doc", "size", "place"), "region")
     return (left.join(right, "region").where((F.col("doc_u") < F.col("doc_v")) & _sizes_fit(percent))
             .select(F.col("doc_u").alias("u"), F.col("doc_v").alias("v")))
 
@@ -219,12 +236,24 @@ def _sized(regions: DataFrame) -> DataFrame:
     return regions.join(count, "region")
 
 
+def _within_reach(regions: DataFrame, percent: int) -> DataFrame:
+    """Members that can link with a document of the region's sizes at this place of their order, in regions of two or more.
+
+    Linked documents meet at the first shingle that both have, where both are within reach.
+    """
+    least = regions.groupBy("region").agg(F.min("size").alias("least"))
+    other = F.greatest(F.col("least"), F.col("size") * percent / 100)
+    near = regions.join(least, "region").where(_reach(F.col("size"), F.col("place"), F.floor(other), percent))
+    return _sized(near.drop("least", "n"))
+
+
 def _distinct(regions: DataFrame) -> DataFrame:
-    """One of the regions that hold the same documents: neighbouring shingles of a passage make the same region."""
+    """Regions that hold the same documents as one, each with its least place: neighbouring shingles of a passage make the same region."""
     mark = regions.groupBy("region").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.sum(F.xxhash64("doc", F.lit(1)).cast("decimal(20,0)")).alias("s"))
-    kept = mark.groupBy("n", "x", "s").agg(F.min("region").alias("region")).select("region")
-    return regions.join(kept, "region", "left_semi")
+    kept = mark.groupBy("n", "x", "s").agg(F.min("region").alias("kept"), F.count("*").alias("same"))
+    named = mark.join(kept, ["n", "x", "s"]).select("region", "kept")
+    return regions.join(named, "region").groupBy(F.col("kept").alias("region"), "doc", "size", "n").agg(F.min("place").alias("place"))
 
 
 def _split(within: DataFrame, parents: DataFrame) -> DataFrame:
@@ -233,13 +262,18 @@ def _split(within: DataFrame, parents: DataFrame) -> DataFrame:
     widest = count.groupBy("parent").agg(F.max(F.struct("m", "region")).alias("widest"))
     whole = widest.join(parents.select(F.col("region").alias("parent"), "n").distinct(), "parent").where(F.col("widest.m") == F.col("n"))
     spare = count.join(whole.select("parent", F.col("widest.region").alias("only")), "parent").where("region <> only").select("region")
-    return within.join(spare, "region", "left_anti").select("region", "doc", "size")
+    return within.join(spare, "region", "left_anti").select("region", "doc", "size", "place")
 
 
 def _pivots(regions: DataFrame, round_: int) -> DataFrame:
-    """PIVOTS documents of each region, drawn by hash."""
-    chosen = [F.min(F.struct(F.xxhash64("doc", F.lit(round_ * PIVOTS + i)), "doc"))["doc"] for i in range(PIVOTS)]
-    return regions.groupBy("region").agg(F.array_distinct(F.array(*chosen)).alias("pivots")).select(
+    """PIVOTS documents of each region: of each hash class the one with the fewest own shingles before the region's.
+
+    Near copies of one text have their changes, which are rare, before what they share. The
+    one with the least of them is the nearest to all others.
+    """
+    class_ = F.pmod(F.xxhash64("doc", F.lit(round_)), F.lit(PIVOTS))
+    chosen = [F.min(F.when(class_ == i, F.struct("place", F.xxhash64("doc", F.lit(round_)).alias("draw"), "doc")))["doc"] for i in range(PIVOTS)]
+    return regions.groupBy("region").agg(F.array_compact(F.array(*chosen)).alias("pivots")).select(
         "region", F.posexplode("pivots").alias("number", "pivot"))
 
 
@@ -249,7 +283,7 @@ def _block_pairs(regions: DataFrame, percent: int) -> DataFrame:
     sides = blocks.select("region", "block").distinct()
     met = (sides.join(sides.withColumnRenamed("block", "block_v"), "region").where("block <= block_v")
            .withColumnRenamed("block", "block_u"))
-    left, right = _sides(blocks.select("region", "block", "doc", "size", "component"), "region")
+    left, right = _sides(blocks.select("region", "block", "doc", "size", "place", "component"), "region")
     return (met.join(left, ["region", "block_u"]).join(right, ["region", "block_v"])
             .where((F.col("component_u") != F.col("component_v")) & (F.col("doc_u") != F.col("doc_v")) & _sizes_fit(percent))
             .select(F.least("doc_u", "doc_v").alias("u"), F.greatest("doc_u", "doc_v").alias("v")))
@@ -286,9 +320,9 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     classes = every.where("size > 0").groupBy("low", "high").agg(F.min("doc").alias("head"), F.count("*").alias("copies"))
     copies = every.join(classes.where("copies > 1"), ["low", "high"]).select(F.col("head").alias("u"), F.col("doc").alias("v")).where("u <> v")
     links = settle(copies, "links")
-    postings = dealt.where("posting").select("region", "doc", "size").join(links.select(F.col("v").alias("doc")), "doc", "left_anti")
+    postings = dealt.where("posting").select("region", "doc", "size", "place").join(links.select(F.col("v").alias("doc")), "doc", "left_anti")
 
-    regions = settle(_distinct(_sized(postings)), "regions")
+    regions = settle(_distinct(_within_reach(postings, percent)), "regions")
     profiles = every.select("doc", "profile")
     fits = F.col("shared") * 100 >= F.col("joint") * percent
     large = regions.where(F.col("n") > LEAF)
@@ -311,11 +345,11 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         away = to_pivots.join(
             near.select(F.col("u").alias("a"), F.col("v").alias("b"), (1 - F.col("shared") / F.col("joint")).alias("d")),
             (F.least("doc", "pivot") == F.col("a")) & (F.greatest("doc", "pivot") == F.col("b")), "left",
-        ).select("region", "doc", "size", "number", F.coalesce("d", F.lit(0.0)).alias("d"))
+        ).select("region", "doc", "size", "place", "number", F.coalesce("d", F.lit(0.0)).alias("d"))
         nearest = away.groupBy("region", "doc").agg(F.min("d").alias("near"))
         # A little over 2 eps, so that rounding loses no document on the border.
         within = (away.join(nearest, ["region", "doc"]).where(F.col("d") <= F.col("near") + 2 * eps + 1e-9)
-                  .select(F.col("region").alias("parent"), F.xxhash64("region", "number", F.lit(round_)).alias("region"), "doc", "size"))
+                  .select(F.col("region").alias("parent"), F.xxhash64("region", "number", F.lit(round_)).alias("region"), "doc", "size", "place"))
         within = settle(within, "within")
         regions = settle(_open_regions(_sized(_split(within, large)), links), "regions")
         large = regions.where(F.col("n") > LEAF)
