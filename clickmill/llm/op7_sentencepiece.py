@@ -31,13 +31,12 @@ from pyspark.sql import functions as F
 
 from .common import table, texts
 from .double_array import DoubleArray
-from .windows import SLICE_BYTES, hashes, prefix_sums, slices
+from .windows import SLICE_BYTES, range_hashes, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_PIECES = 1_000_000
 PENALTY = 10.0
 _CELLS = 1 << 20
-_BYTE_VALUES = np.random.default_rng(77).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 MARK = "▁".encode()
 #: Stands for a marker that the text itself holds; no byte of it occurs in UTF-8.
@@ -198,7 +197,7 @@ class Pieces:
         if not len(buf):
             return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
         data, begin, end, doc = self.chunks(buf, offsets)
-        key = hashes(prefix_sums(_BYTE_VALUES[data]), begin, end)
+        key = range_hashes(data, begin, end)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         size = (end - begin)[first]
         order = np.argsort(-size, kind="stable")
