@@ -79,11 +79,23 @@ def keyed(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, int]:
     return wanted.withColumn("doc_key", key), step
 
 
+#: Option of the C library for the size from which memory is mapped on its own, and that size.
+_MAP_FROM, _MAPPED_BYTES = -3, 1 << 18
+_SET: list[bool] = []
+
+
 def _give_back() -> None:
-    """Return freed memory to the system: workers live on from stage to stage."""
+    """Return freed memory to the system: workers live on from stage to stage.
+
+    Large arrays are mapped on their own and go back when freed; by itself the C library
+    raises the size from which it does that with each one it frees.
+    """
     pa.default_memory_pool().release_unused()
     try:
-        ctypes.CDLL(None).malloc_trim(0)
+        library = ctypes.CDLL(None)
+        if not _SET:
+            _SET.append(bool(library.mallopt(_MAP_FROM, _MAPPED_BYTES)))
+        library.malloc_trim(0)
     except AttributeError:  # another C library
         pass
 

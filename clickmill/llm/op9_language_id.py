@@ -7,7 +7,8 @@ backpropagation through time. As states begin anew at white space, equal words g
 labels, so a task runs the network once for each distinct word of a record batch.
 
 Training reads a bounded sample: of labelled documents outside the held-out fold, about
-DOCUMENTS for each language, drawn by hash, and of those the first CHARACTERS characters.
+DOCUMENTS for each language, drawn by hash. Tasks draw DRAWN words of each from all places of
+its whole text (all words, if it has fewer); only these reach the driver.
 The fold of a document is crc32(doc_id as text) mod 3; remainder 1 is held out.
 
  - A text that is missing or has no letter is `und` with score 0; so is everything if no
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import table, texts
 from .op10_jaccard_join import LOWER
-from .windows import SLICE_BYTES, slices, word_units
+from .windows import SLICE_BYTES, mix, slices, word_bounds
 
 HIDDEN, STEPS = 16, 20
-DOCUMENTS, CHARACTERS = 400, 3000
+DOCUMENTS, DRAWN = 400, 500
 WORDS, BATCH, ROUNDS, RATE = 20_000, 512, 400, 0.01
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -186,15 +187,14 @@ def pieces(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def document_probabilities(network: Network, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Mean label probabilities over the letter positions of each document; zeros where there is none."""
     data, sizes, keys, docs = [], [], [], []
-    for i, j in slices(buf, offsets, 2 * SLICE_BYTES):
+    for i, j in slices(buf, offsets, SLICE_BYTES // 2):
         part = offsets[i:j + 1]
         own = buf[part[0]:part[-1]]
-        _, _, begin, end = word_units(own, part - part[0])
+        begin, end = word_bounds(own, part - part[0])
         begin, end = pieces(begin, end)
         rows, size = word_rows(own, begin, end)
         key = np.concatenate([rows, size[:, None].astype(np.uint8), np.zeros((len(rows), 3), np.uint8)], 1).view(np.uint64)
-        key = (key * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)).sum(1)
-        key ^= key >> np.uint64(29)
+        key = mix(key + np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)).sum(1)
         uniq, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         keys.append((uniq, inverse))
         data.append(rows[first])
@@ -228,6 +228,20 @@ def _fold():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3
 
 
+def _drawn_words(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """DRAWN words of each text from all its places, in order; always the same ones of a text."""
+    for batch in incoming:
+        buf, offsets = texts(batch.column("text"))
+        drawn = []
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            begin, end = word_bounds(buf[a:b], np.array([0, b - a]))
+            if len(begin) > DRAWN:
+                pick = np.sort(np.random.default_rng(int(b - a)).choice(len(begin), DRAWN, replace=False))
+                begin, end = begin[pick], end[pick]
+            drawn.append(b" ".join(buf[a + x:a + y].tobytes() for x, y in zip(begin, end)).decode())
+        yield pa.RecordBatch.from_arrays([batch.column("lang").cast(pa.string()), pa.array(drawn, pa.string())], ["lang", "text"])
+
+
 def train(docs: DataFrame, fold: bool = True) -> Network | None:
     """A network from a bounded sample of labelled documents, without the held-out fold."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -239,13 +253,13 @@ def train(docs: DataFrame, fold: bool = True) -> Network | None:
         return None
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, DOCUMENTS / counts[lang]))])
     drawn = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
-    sample = known.where(drawn).select("lang", F.substring("text", 1, CHARACTERS).alias("text")).collect()
+    sample = known.where(drawn).select("lang", F.col("text").cast("string").alias("text")).mapInArrow(_drawn_words, "lang string, text string").collect()
     rng = np.random.default_rng(3)
     rows, sizes, truth = [], [], []
     for number, lang in enumerate(languages):
         text = "\n".join(sorted(r["text"] for r in sample if r["lang"] == lang)).encode()
         buf = np.frombuffer(text, np.uint8)
-        _, _, begin, end = word_units(buf, np.array([0, len(buf)]))
+        begin, end = word_bounds(buf, np.array([0, len(buf)]))
         begin, end = pieces(begin, end)
         if len(begin):
             pick = rng.integers(0, len(begin), WORDS)
