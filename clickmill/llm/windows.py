@@ -83,8 +83,10 @@ def range_hashes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     value |= place.view(U) << U(8)
     value *= _STEP
     value = mix(value)
-    out = np.add.reduceat(value, np.minimum(ahead, max(0, len(value) - 1))) if len(value) else np.zeros(len(n), U)
-    out[n == 0] = 0
+    full = n > 0
+    out = np.zeros(len(n), U)
+    if full.any():
+        out[full] = np.add.reduceat(value, ahead[full])
     return mix(out + n.astype(U))
 
 
