@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Sessions are merged before they are shuffled, so one busy key sends few rows.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Of a repeated JSON key the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Timestamps with statistics that filters can skip row groups by.

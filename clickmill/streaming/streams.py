@@ -157,3 +157,49 @@ def stream_status_by_bin(
     """The streaming form of the status report: closed bins only, late lines up to ``lateness``."""
     stamped = log.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return oplogs.status_by_bin(stamped.withWatermark("timestamp", lateness), width, component)
+
+
+def stream_alerts(log: DataFrame, rules: dict | None = None, lateness: str = "10 minutes") -> DataFrame:
+    """The alert rules over an arriving log: component, bin_start, alert and metric, each row once.
+
+    Share and errors follow from bins that have closed, runs of bins from windows that slide over
+    them; both are of the whole log, with a null component. Silence is the gap that ends a session
+    of one component; it fires when the gap has reached its limit, which is its metric, and names
+    the bin of the last line. Lines without a time or a component say nothing about silence.
+    """
+    r = {**oplogs.ALERT_RULES, **(rules or {})}
+    width, bins_in_run, silent = r["width_minutes"], r["sustained_bins"], r["silent_minutes"]
+    lines = log.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
+    bins = lines.groupBy(F.window("timestamp", f"{width} minutes").alias("bin")).agg(
+        F.count_if(F.col("status").isin("valid", "quarantined")).alias("checked"),
+        F.count_if(F.col("status") == "quarantined").alias("quarantined"),
+        F.count_if(F.col("status") == "error").alias("errors"),
+    )
+    share = F.coalesce(F.try_divide(F.col("quarantined") * F.lit(100.0), F.col("checked")), F.lit(0.0))
+    runs = bins.groupBy(
+        F.window(F.window_time("bin"), f"{bins_in_run * width} minutes", f"{width} minutes").alias("run")
+    ).agg(
+        F.count("*").alias("bins"), F.min(share).alias("least_share"),
+        F.max(F.struct(F.col("bin.start").alias("start"), "errors")).alias("newest"),
+    ).withColumn("bin_start", F.col("run.end") - F.expr(f"INTERVAL {width} MINUTES"))
+    errors = F.col("newest.errors")
+    checks = {
+        "high_quarantine_rate": (
+            (F.col("bins") == bins_in_run) & (F.col("least_share") > r["quarantine_pct"]), F.col("least_share")),
+        "errors": ((F.col("newest.start") == F.col("bin_start")) & (errors > r["max_errors"]), errors.cast("double")),
+    }
+    fired = F.array_compact(F.array(*[
+        F.when(test, F.struct(F.lit(name).alias("alert"), metric.alias("metric")))
+        for name, (test, metric) in checks.items()
+    ]))
+    broken = runs.select(F.lit(None).cast("string").alias("component"), "bin_start", F.inline(fired))
+    seconds = 60 * width
+    gap = 60_000_000 * silent - 1  # lines exactly the limit apart end a session too
+    quiet = lines.filter(F.col("component").isNotNull()).groupBy(
+        "component", F.session_window("timestamp", f"{gap} microseconds").alias("session")
+    ).agg(F.max("timestamp").alias("tail")).select(
+        "component",
+        F.timestamp_seconds(F.floor(F.unix_timestamp("tail") / seconds) * seconds).alias("bin_start"),
+        F.lit("no_events").alias("alert"), F.lit(float(silent)).alias("metric"),
+    )
+    return broken.unionByName(quiet)

@@ -415,6 +415,23 @@ ORACLES["alerts"] = sql(
     lag(bin_start, 2) OVER (ORDER BY bin_start) AS run_start,
     date_diff('second', tail, coalesce(lead(head) OVER (ORDER BY bin_start), TIMESTAMP '2024-01-31')) / 60.0::DOUBLE AS silent
   FROM bins)""")
+ORACLES["stream_alerts"] = sql(
+    LOG_SQL, """SELECT CAST(NULL AS VARCHAR) AS component, bin_start, 'errors' AS alert, CAST(errors AS DOUBLE) AS metric
+    FROM scored, closed WHERE errors > 4 AND bin_start + INTERVAL 1 HOUR <= until
+  UNION ALL SELECT NULL, bin_start, 'high_quarantine_rate', round(least_share, 6) FROM scored, closed
+    WHERE least_share > 2 AND run_start = bin_start - INTERVAL 2 HOUR AND bin_start + INTERVAL 1 HOUR <= until
+  UNION ALL SELECT component, time_bucket(INTERVAL 60 MINUTE, "timestamp"), 'no_events', 40.0::DOUBLE FROM following, closed
+    WHERE (next IS NULL OR next >= "timestamp" + INTERVAL 40 MINUTE) AND "timestamp" + INTERVAL 40 MINUTE <= until""",
+    """bins AS (SELECT time_bucket(INTERVAL 60 MINUTE, "timestamp") AS bin_start,
+    count(*) FILTER (status IN ('valid', 'quarantined')) AS checked,
+    count(*) FILTER (status = 'quarantined') AS quarantined, count(*) FILTER (status = 'error') AS errors
+    FROM component_log GROUP BY 1),
+  scored AS (SELECT *, min(coalesce(quarantined * 100.0::DOUBLE / nullif(checked, 0), 0)) OVER
+      (ORDER BY bin_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS least_share,
+    lag(bin_start, 2) OVER (ORDER BY bin_start) AS run_start FROM bins),
+  following AS (SELECT component, "timestamp",
+    lead("timestamp") OVER (PARTITION BY component ORDER BY "timestamp") AS next FROM component_log),
+  closed AS (SELECT max("timestamp") - INTERVAL 30 MINUTE AS until FROM component_log)""")
 ORACLES["slow_queries"] = sql(HISTORY_SQL, """SELECT query_id, query_text, execution_time / 1000 AS execution_seconds,
   bytes_scanned / 1024 / 1024 AS mb_scanned, rows_produced, warehouse_name FROM query_history
   WHERE execution_status = 'SUCCESS' AND start_time > TIMESTAMP '2001-08-02' - INTERVAL 720 HOUR

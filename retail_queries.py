@@ -823,6 +823,19 @@ def stream_status_by_bin(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def stream_alerts(spark, sf_dir):
+    """The log arrives in two parts; the second run goes on from the first one's checkpoint."""
+    source, target, checkpoint = (files.scratch(spark, name) for name in ("log", "alerts", "checkpoint"))
+    log = X.component_log(spark, sf_dir)
+    rules = {"width_minutes": 60, "quarantine_pct": 2.0, "sustained_bins": 3, "max_errors": 4, "silent_minutes": 40}
+    for part in ("timestamp < '2024-01-15'", "timestamp >= '2024-01-15'"):
+        log.filter(part).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(log.schema).parquet(source)
+        fired = streams.stream_alerts(arriving, rules, "30 minutes")
+        streams.run_available(fired.writeStream.format("parquet").option("path", target).outputMode("append"), checkpoint)
+    return spark.read.parquet(target).withColumn("metric", F.round("metric", 6))
+
+
 QUERIES = {f.__name__: f for f in (
     read_ndjson, stream_ndjson, infer_and_pin_schema, read_table, scan_table, load_staged, stream_load,
     read_hwm, write_partitions, append_ndjson, append_table, export_table, upsert, upsert_cols,
@@ -838,7 +851,7 @@ QUERIES = {f.__name__: f for f in (
     weekday_sales, kpi_join, revenue_anomalies,
     mask_column, hash_mask, mask_user_id, row_security,
     latency_by_bin, alerts, freshness, layout_health, footer_ranges, compact_on_curve, refresh_state, run_expectations,
-    export_gold, seasonal_anomalies, stream_status_by_bin,
+    export_gold, seasonal_anomalies, stream_status_by_bin, stream_alerts,
 )}
 QUERIES.update({f"{n}_reason": family(n) for n in ("schema", "type", "enum", "anomaly")})
 QUERIES.update({
