@@ -57,20 +57,37 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys, F.col(value).cast("double").alias("value")).agg(F.count("*").alias("n"))
 
 
+#: Ranges in which a value may double; no value has more than 2100 doublings below it and as many above zero.
+RANGES_A_DOUBLING = 128
+
+
+def value_range(value: Column, width: float | None = None) -> Column:
+    """Number of the range a value lies in, rising with the value: of equal ``width``, else as fine as the value is large.
+
+    The second kind follows the unit and spread of the data by itself: milliseconds, nanoseconds or
+    far outliers give a few hundred ranges alike.
+    """
+    if width:
+        return F.floor(value / F.lit(float(width)))
+    doublings = F.least(F.log2(F.abs(value)), F.lit(1025.0))
+    away = F.floor(doublings * F.lit(float(RANGES_A_DOUBLING))) + F.lit(1 << 20)
+    return F.when(value.isNull(), F.lit(None)).when(value == 0, F.lit(0).cast("long")).when(value > 0, away).otherwise(-away)
+
+
 def percentile_of_counts(
-    counts: DataFrame, keys: list[str], q: float, name: str, width: float = 1.0
+    counts: DataFrame, keys: list[str], q: float, name: str, width: float | None = None
 ) -> DataFrame:
     """Interpolated percentile per key without ordering a whole group in one task.
 
-    Counts per value range of ``width`` locate the one or two ranges that hold the
+    Counts per value range (`value_range`) locate the one or two ranges that hold the
     wanted ranks; only the values in those ranges are ordered. Range totals are
-    ordered per key, and their number is set by the spread of the values, not by
+    ordered per key, and their number is set by the magnitudes of the values, not by
     the row count. NULLs weigh nothing, and a key with nothing else gets NULL; to
     filter them here would make Spark read the input once more for the values.
     """
     weighed = counts.select(
         *keys, "value", F.when(F.col("value").isNull(), 0).otherwise(F.col("n")).alias("_n"),
-        F.coalesce(F.floor(F.col("value") / F.lit(float(width))), F.lit(-(2 ** 63))).alias("_range"),
+        F.coalesce(value_range(F.col("value"), width), F.lit(-(2 ** 63))).alias("_range"),
     )
     ordered = Window.partitionBy(*keys).orderBy("_range")
     whole = Window.partitionBy(*keys)
@@ -105,7 +122,7 @@ def percentile_of_counts(
 
 
 def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, q: float, name: str, width: float = 1.0
+    df: DataFrame, keys: list[str], value: str, q: float, name: str, width: float | None = None
 ) -> DataFrame:
     return percentile_of_counts(value_counts(df, keys, value), keys, q, name, width)
 

@@ -8,12 +8,12 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from clickmill.functions.rollup import entity_rollup, exact_percentile, share_of_group
+from clickmill.functions.rollup import entity_rollup, exact_percentile, share_of_group, value_range
 from clickmill.operators import analytics, oplogs, silver
 
 
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
-@pytest.mark.parametrize("width", [0.5, 10.0, 1e6])
+@pytest.mark.parametrize("width", [None, 0.5, 10.0, 1e6])
 def test_percentile_equals_interpolation(spark, q, width):
     rng = random.Random(3)
     data = [("hot", round(rng.gauss(50, 20), 2)) for _ in range(600)]
@@ -30,6 +30,18 @@ def test_percentile_equals_interpolation(spark, q, width):
         assert got[k] == pytest.approx(float(np.quantile(values, q)), abs=1e-9)
 
 
+def test_value_ranges_rise_with_the_values_whatever_their_unit(spark):
+    rng = random.Random(4)
+    values = [sign * rng.random() * 10.0 ** rng.randint(-300, 300) for sign in (1, -1) for _ in range(400)]
+    values += [0.0, -0.0, 5e-324, -5e-324, float("inf"), float("-inf"), float("nan"), 1.7976931348623157e308, None]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_range(F.col("v")).alias("r"))
+    ranges = [r.r for r in got.filter("v IS NOT NULL").orderBy("v").collect()]
+    assert None not in ranges and ranges == sorted(ranges)
+    assert got.filter("v IS NULL").first().r is None
+    spread = spark.range(200_000).select((F.col("id") * 1e6 + 1e9).alias("v"))
+    assert 500 < spread.select(value_range(F.col("v"))).distinct().count() < 2000
+
+
 def journey(rng, session, n, spread):
     at = datetime(2024, 1, 30)
     kinds = ["page_view", "add_to_cart", "checkout_complete"]
