@@ -1,6 +1,7 @@
 """Chat formatting, URL filters and fingerprints."""
 
 import hashlib
+from itertools import zip_longest
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,12 +101,14 @@ def test_fingerprints(request, which, bucket, monkeypatch):
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: r[1], reverse=True)
     rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0)))
     got = sorted((tuple(r) for r in prints.judged(docs).collect()), key=repr)
-    want, node = [], {}
+    want, node, edits = [], {}, {}
     for k, (i, text) in enumerate(rows):
         after = rows[(k + 1) % len(rows)][1]
         cut = len(text) // 3
         edited = text[:len(text) - cut] + after[:cut]
-        want.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        want.append((i, len(text), digest))
+        edits[i, len(text), digest] = text, edited, after
         node.setdefault(text, set())
     assert [g[:3] for g in got] == sorted(want, key=repr)
     by_text = {}
@@ -113,16 +116,93 @@ def test_fingerprints(request, which, bucket, monkeypatch):
         by_text.setdefault(r.doc_id, set()).add(r.fingerprint)
     assert all(len(v) == 1 for v in by_text.values()) and len({min(v) for v in by_text.values()}) == len(node)
     assert all(0 <= x <= 1 for g in got for x in g[5:7])
+    seen = {}
+    for g in got:
+        text, edited, after = edits[g[:3]]
+        for one, printed in ((text, g[3]), (edited, g[4])):
+            assert [h for h in print_of(printed)[1]] == [short_nodes(s) for s in sections_of(one)]
+            assert printed.startswith(root_of(one) + ";")
+            seen[one] = printed
+        first = next((k for k, (a, b) in enumerate(zip_longest(text.split("\n"), edited.split("\n"))) if a != b), None)
+        assert g[7] == first
+    for g in got:
+        text, edited, after = edits[g[:3]]
+        assert g[5] == pytest.approx(like(seen[text], seen[edited]), abs=1e-12)
+        assert g[6] == pytest.approx(like(seen[text], seen[after]), abs=1e-12)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def sections_of(text):
+    """Full leaf hashes by section."""
+    out = [[]]
+    for leaf in map(sha, text.split("\n")):
+        out[-1].append(leaf)
+        if leaf[0] < "4":
+            out.append([])
+    return [s for s in out if s]
+
+
+def root_of(text):
+    return sha(",".join(sha(",".join(s)) for s in sections_of(text)))
+
+
+def short_nodes(section):
+    return sha(",".join(section))[:16], tuple(h[:16] for h in section)
+
+
+def print_of(printed):
+    """Root, nodes and leaves by section, and the sections as sets of leaves with their pieces."""
+    root, *sections = printed.split(";")
+    parts = [s.split(",") for s in sections]
+    leaves = [(p[0], tuple((leaf[:16], tuple(x for x in leaf[16:].split(".") if x)) for leaf in p[1:])) for p in parts]
+    return root, [(node, tuple(h for h, _ in own)) for node, own in leaves], leaves
+
+
+def like(a, b):
+    """Likeness of two fingerprints, level by level."""
+    (root_a, _, one), (root_b, _, two) = print_of(a), print_of(b)
+    if root_a == root_b:
+        return 1.0
+    weight = sum(len(pieces) for _, own in set(one) & set(two) for _, pieces in own)
+    alone = [{leaf for _, own in set(x) - set(y) for leaf in own} for x, y in ((one, two), (two, one))]
+    weight += sum(len(pieces) for _, pieces in alone[0] & alone[1])
+    left, right = ({p for _, pieces in x - y for p in pieces} for x, y in (alone, alone[::-1]))
+    both = 2 * weight + len(left) + len(right)
+    return 2 * (weight + len(left & right)) / both if both else 0.0
 
 
 def test_edits_are_located(spark):
     text = "\n".join(f"paragraph number {i} says that {i * i} is a square, and so on" for i in range(40))
     changed = text.replace("number 17 says", "number 17 claims")
     row = spark.createDataFrame([(text, changed)], "a string, b string").select(
+        prints.first_edit(prints.tree(F.col("a")), prints.tree(F.col("b"))).alias("first"),
         prints.differing(prints.tree(F.col("a")), prints.tree(F.col("b"))).alias("where"),
         prints.likeness(prints.tree(F.col("a")), prints.tree(F.col("b"))).alias("like"),
         prints.likeness(prints.tree(F.col("a")), prints.tree(F.col("a"))).alias("same")).first()
-    assert row["where"] == [17] and 0.9 < row["like"] < 1 and row["same"] == 1
+    assert row["where"] == [17] and row["first"] == 17 and 0.9 < row["like"] < 1 and row["same"] == 1
+
+
+def test_long_edited_documents_are_located(spark):
+    """Likeness and place of an edit do not compare all paragraphs with all others."""
+    lines = [f"line {i} of a text that has very many of them" for i in range(60_000)]
+    changed = [line + "!" if i >= 30_000 else line for i, line in enumerate(lines)]
+    row = spark.createDataFrame([("\n".join(lines), "\n".join(changed))], "a string, b string").select(
+        prints.tree(F.col("a")).alias("a"), prints.tree(F.col("b")).alias("b")).select(
+        prints.likeness(F.col("a"), F.col("b")).alias("like"), prints.first_edit(F.col("a"), F.col("b")).alias("first")).first()
+    assert row["first"] == 30_000 and 0.5 < row["like"] < 1
+
+
+def test_order_of_many_buckets(spark, monkeypatch):
+    """Each document meets its next one where buckets are few to a group and some are empty."""
+    monkeypatch.setattr(prints, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(prints, "GROUP_BUCKETS", 3)
+    ids = [i * i * 7 for i in range(150)]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.following for r in prints.with_next(docs).collect()}
+    assert got == {i: f"text {ids[k - 1]}" for k, i in enumerate(ids)}
 
 
 def test_no_documents(no_docs):
