@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from .common import settle, table
 
 #: Documents of a bucket on average, and quantiles between which ids are taken to be evenly spread.
-BUCKET_ROWS, QUANTILES = 4096, 32
+BUCKET_ROWS, QUANTILES = 1024, 32
 #: Buckets that a task of the main pass has on average, at most, and buckets looked at together for their order.
-TASK_BUCKETS, GROUP_BUCKETS = 2, 1024
+TASK_BUCKETS, GROUP_BUCKETS = 32, 1024
 
 _PIECE = r"(?s).{16,96}?(?:(?:[^\p{L}\s]|[nsr])\s|\z)|.{1,96}"
 
@@ -139,7 +139,7 @@ def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
     bounds = sorted({seen["low"], *(seen["q"] or [])} - {None})
     if not bounds:
         return docs.withColumn("bucket", F.lit(0).cast("long")), 1
-    parts = max(1, seen["n"] // (BUCKET_ROWS * len(bounds)))
+    parts = -(-seen["n"] // (BUCKET_ROWS * len(bounds)))
     bucket = F.lit(-1).cast("long")
     for i, low in enumerate(bounds):
         width = max(1, -(-(bounds[i + 1] - low) // parts)) if i + 1 < len(bounds) else BUCKET_ROWS
