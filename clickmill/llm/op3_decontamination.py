@@ -9,8 +9,9 @@ its occurrences located, and the spans of a document merged.
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z are lower-cased. A phrase is `length`
 consecutive words of an item, or all words of a shorter one.
 
-The benchmark is taken in blocks of at most BLOCK_BYTES of text on average, so what is
-broadcast at once is bounded; the documents pass all blocks in one go, without a shuffle.
+The benchmark is taken in blocks of at most BLOCK_BYTES of text on average. One block at a
+time is broadcast: the documents pass it without a shuffle, and where another one follows,
+they are written with their hits and the block is given up.
 
  - A missing or empty text has no words; an item without words occurs nowhere.
  - Rows are judged one by one: repeated doc_ids or missing ones keep a row each. Item ids
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import settle, table, texts
 from .fm_index import FMIndex
 from .op10_jaccard_join import LOWER
 from .windows import slices, word_units
@@ -147,9 +148,10 @@ def _search(phrases, first: bool):
 def hits(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with n_words, spans and cover (merged hits as word and as byte ranges, flat) and items (item ids as text).
 
-    docs must not have columns of these names.
+    Columns of these names are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.drop("n_words", "spans", "cover", "items")
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
@@ -160,6 +162,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFra
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         phrases = spark.sparkContext.broadcast(Phrases([tuple(r) for r in rows], length))
         docs = docs.mapInArrow(_search(phrases, block == 0), f"{types}, {added}")
+        if block + 1 < blocks:
+            docs = settle(docs, "hits")
+            phrases.destroy()
     return docs
 
 

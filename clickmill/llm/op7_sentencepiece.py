@@ -286,13 +286,15 @@ def _types(df: DataFrame) -> str:
 
 
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """docs with the array column ids; docs must not have one of that name."""
+    """docs with the array column ids, which replaces one of that name."""
+    docs = docs.drop("ids")
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))
     return docs.mapInArrow(_encoded(pieces), f"{_types(docs)}, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str = MODEL) -> DataFrame:
-    """rows with the text of their ids as column decoded."""
+    """rows with the text of their ids as column decoded, which replaces one of that name."""
+    rows = rows.drop("decoded")
     pieces = rows.sparkSession.sparkContext.broadcast(Pieces.load(path))
     return rows.mapInArrow(_decoded(pieces), f"{_types(rows)}, decoded string")
 
@@ -305,7 +307,8 @@ def _both(pieces):
 
 
 def encode_and_decode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """docs with ids and decoded, in one pass."""
+    """docs with ids and decoded, which replace columns of these names, in one pass."""
+    docs = docs.drop("ids", "decoded")
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))
     return docs.mapInArrow(_both(pieces), f"{_types(docs)}, ids array<int>, decoded string")
 

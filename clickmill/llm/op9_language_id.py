@@ -274,7 +274,8 @@ def train(docs: DataFrame, fold: bool = True) -> Network | None:
 
 
 def predict(docs: DataFrame, network: Network | None) -> DataFrame:
-    """docs with lang_pred and score; docs must not have columns of these names."""
+    """docs with lang_pred and score, which replace columns of these names."""
+    docs = docs.drop("lang_pred", "score")
     held = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

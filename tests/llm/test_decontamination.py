@@ -71,6 +71,30 @@ def test_nothing_to_find(case, no_docs):
     assert not any(r.contaminated for r in m.digests(rows, benchmark.limit(0)).collect())
 
 
+def test_one_block_is_held_at_a_time(case, monkeypatch):
+    """A block's phrases are given up before those of the next one are sent, and columns of the result's names are replaced."""
+    docs, items, rows, benchmark = case
+    monkeypatch.setattr(m, "BLOCK_BYTES", 200)
+    context, held = type(rows.sparkSession.sparkContext), []
+    send = context.broadcast
+
+    def counted(self, value):
+        out = send(self, value)
+        if isinstance(value, m.Phrases):
+            assert not held
+            held.append(out)
+            end = out.destroy
+            out.destroy = lambda: (held.remove(out), end())
+        return out
+
+    monkeypatch.setattr(context, "broadcast", counted)
+    clashing = rows.selectExpr("*", "'x' AS spans", "1 AS items", "2 AS n_words", "3 AS cover", "4 AS other")
+    found = m.hits(clashing, benchmark)
+    assert sorted(found.columns) == ["cover", "doc_id", "items", "n_words", "other", "spans", "text"]
+    got = sorted(((r.doc_id, r.n_words, len(r["items"]), r.other) for r in found.collect()), key=repr)
+    assert got == sorted(((d, n, k, 4) for d, n, _, k, _, _ in brute(docs, items)), key=repr)
+
+
 def test_stage_cuts_passages_only(case, edge_docs, spark):
     _, items, _, benchmark = case
     rows = edge_docs.limit(0).union(spark.createDataFrame(

@@ -68,6 +68,10 @@ def test_exact_round_trip(spark, edge_docs, model):
         assert out.where("coalesce(text, '') <> decoded").count() == 0 and out.count() == docs.count()
         same = pieces.encode_and_decode(docs)
         assert same.exceptAll(out).count() == 0
+    clashing = rows.selectExpr("*", "'x' AS ids", "1 AS decoded")
+    for out in (pieces.decode(pieces.encode(clashing)), pieces.encode_and_decode(clashing)):
+        assert sorted(out.columns) == ["decoded", "doc_id", "ids", "pieces", "text"]
+        assert out.where("coalesce(text, '') <> decoded").count() == 0
     digest = {r.doc_id: r for r in pieces.round_trip(rows).collect()}
     assert digest[0].n_pieces == 0 and digest[len(HARD)].n_pieces == 0
     assert all(digest[i].n_chars == len(t) for i, t in enumerate(HARD))
@@ -114,6 +118,8 @@ def test_language_edges(spark, small_docs, no_docs):
     assert all(got[i] == ("und", 0.0) for i in (1, 2, 3, 4)) and got[5][0] != "und"
     assert got[None][0] == got[6][0] == "en"
     assert {r.lang_pred for r in lang.predict(rows, None).collect()} == {"und"}
+    clashing = lang.predict(rows.selectExpr("*", "'x' AS lang_pred", "'y' AS score"), model)
+    assert {r.doc_id: (r.lang_pred, r.score) for r in clashing.collect()} == got
     kept = lang.keep_languages(small_docs.union(small_docs.limit(1).withColumn("text", F.lit("123"))))
     assert kept.count() == small_docs.count() and kept.columns == small_docs.columns
 
