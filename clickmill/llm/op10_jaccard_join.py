@@ -43,6 +43,7 @@ gives an empty result; further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -298,8 +299,11 @@ def _open_regions(regions: DataFrame, links: DataFrame) -> DataFrame:
     return marked.drop("n").join(still, "region")
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, most_bits: int = sketch.MAX_BITS) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reached by links) of every row, and the keys of both."""
+def _found(docs: DataFrame, width: int, percent: int, most_bits: int, whole: bool) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Every row, the copies of each class (head u, copy v), links (u, v, shared, joint) between heads, and the key's step.
+
+    All links if `whole`, else as many as components need: pairs that are of one already are left out.
+    """
     rows, step = keyed(docs)
     rows = rows.select("doc_key", "doc_id", "text")
     spark = docs.sparkSession
@@ -319,7 +323,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     every = dealt.where(~F.col("posting"))
     classes = every.where("size > 0").groupBy("low", "high").agg(F.min("doc").alias("head"), F.count("*").alias("copies"))
     copies = every.join(classes.where("copies > 1"), ["low", "high"]).select(F.col("head").alias("u"), F.col("doc").alias("v")).where("u <> v")
-    links = settle(copies, "links")
+    copies = links = settle(copies, "copies")
+    met = []
     postings = dealt.where("posting").select("region", "doc", "size", "place").join(links.select(F.col("v").alias("doc")), "doc", "left_anti")
 
     regions = settle(_distinct(_within_reach(postings, percent)), "regions")
@@ -338,7 +343,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
                 F.least("doc", "pivot").alias("u"), F.greatest("doc", "pivot").alias("v")))
         near = profile_distances(profiles, pairs)
         exact = distances(rows, near.where(fits), width, size["rows"])
-        links = settle(links.union(exact.where(fits).select("u", "v")), "links")
+        met.append(exact.where(fits))
         if last:
             break
         eps = 1 - percent / 100
@@ -351,12 +356,43 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         within = (away.join(nearest, ["region", "doc"]).where(F.col("d") <= F.col("near") + 2 * eps + 1e-9)
                   .select(F.col("region").alias("parent"), F.xxhash64("region", "number", F.lit(round_)).alias("region"), "doc", "size", "place"))
         within = settle(within, "within")
-        regions = settle(_open_regions(_sized(_split(within, large)), links), "regions")
+        regions = _sized(_split(within, large))
+        if whole:
+            regions = settle(regions.withColumn("component", F.col("doc")), "regions")
+        else:
+            links = settle(links.union(met[-1].select("u", "v")), "links")
+            regions = settle(_open_regions(regions, links), "regions")
         large = regions.where(F.col("n") > LEAF)
         if regions.isEmpty():
             break
 
-    member = components(links)
+    return every, copies, reduce(DataFrame.union, met).distinct(), step
+
+
+def jaccard_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, most_bits: int = sketch.MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all links between classes of equal sets, and every row with its class.
+
+    Links are u, v (class ids, u < v), shared and joint (sizes of intersection and union). Rows are
+    doc_id, n_shingles, class_id and n_links, the number of other rows that the row is linked with.
+    A class id is the doc_key of its first row, its doc_id where doc_ids are unique.
+    """
+    every, copies, links, _ = _found(docs, width, percent, most_bits, True)
+    links = settle(links, "links")
+    rows = every.join(copies.select(F.col("v").alias("doc"), F.col("u").alias("head")), "doc", "left").select(
+        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("head", "doc").alias("class_id"))
+    sizes = rows.groupBy("class_id").agg(F.count("*").alias("copies"))
+    ends = links.select(F.col("u").alias("class_id"), F.col("v").alias("other")).union(links.select("v", "u"))
+    beside = (ends.join(sizes.withColumnRenamed("class_id", "other"), "other").groupBy("class_id")
+              .agg(F.sum("copies").alias("beside")))
+    counted = sizes.join(beside, "class_id", "left").select(
+        "class_id", (F.coalesce("beside", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return links, rows.join(counted, "class_id").select("doc_id", "n_shingles", "class_id", "n_links")
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, most_bits: int = sketch.MAX_BITS) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reached by links) of every row, and the keys of both."""
+    every, copies, links, step = _found(docs, width, percent, most_bits, False)
+    member = components(copies.union(links.select("u", "v")))
     return (
         every.join(member, "doc", "left")
         .select("doc_id", F.col("size").alias("n_shingles"),

@@ -45,6 +45,33 @@ def test_components(request, which, leaf, monkeypatch):
     assert sorted(got, key=repr) == brute(rows)
 
 
+@pytest.mark.parametrize("leaf", [8, 1])
+def test_all_links(edge_docs, spark, leaf, monkeypatch):
+    """Every pair of different sets, also of one component, and the number of rows each row is linked with."""
+    monkeypatch.setattr(m, "LEAF", leaf)
+    monkeypatch.setattr(m, "BLOCK", 2)
+    base = [f"v{i}" for i in range(120)]
+    near = [(100 + k, " ".join([*base[:6 * k], f"own{k}", *base[6 * k + 1:]])) for k in range(20)]
+    added = spark.createDataFrame([*near, (150, near[3][1]), (90, near[3][1])], "doc_id long, text string")
+    docs = edge_docs.select("doc_id", "text").union(added)
+    sets = []
+    for r in docs.collect():
+        w = (re.sub("[A-Z]", lambda c: c[0].lower(), r.text or "")).split()
+        sets.append((r.doc_id, frozenset(tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset()))
+
+    def linked(a, b):
+        return bool(a & b) and 100 * len(a & b) >= 85 * len(a | b)
+
+    links, rows = m.jaccard_links(docs)
+    want = sorted(((i, len(one), sum(linked(one, other) for _, other in sets) - bool(one)) for i, one in sets), key=repr)
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in rows.collect()), key=repr) == want
+    different = sorted({one for _, one in sets}, key=sorted)
+    pairs = sorted((len(a & b), len(a | b)) for i, a in enumerate(different) for b in different[:i] if linked(a, b))
+    got = links.collect()
+    assert sorted((r.shared, r.joint) for r in got) == pairs and all(r.u < r.v for r in got) and len(pairs) > 100
+    assert {r.u for r in got} | {r.v for r in got} <= {r.class_id for r in rows.collect()}
+
+
 def test_copies_in_falling_order_of_their_ids(spark):
     """Classes whose smallest id stands behind copies in one record batch still meet near copies."""
     rows = []
@@ -60,6 +87,7 @@ def test_copies_in_falling_order_of_their_ids(spark):
 
 def test_no_documents(no_docs):
     assert m.jaccard_components(no_docs).collect() == []
+    assert [df.collect() for df in m.jaccard_links(no_docs)] == [[], []]
 
 
 def test_one_of_each_group_stays(edge_docs):
