@@ -71,7 +71,8 @@ def sound(payload: Column, event: Column) -> Column:
         name = f'"{field}"'
         return event[field].isNull() & (~payload.contains(name) | payload.rlike(rf"{name}\s*:\s*null\s*[,\x7D]"))
 
-    names = F.length(payload) - F.length(F.replace(payload, F.lit('":'), F.lit("")))
+    # in bytes, which a text knows; its characters would have to be counted, twice
+    names = F.octet_length(payload) - F.octet_length(F.replace(payload, F.lit('":'), F.lit("")))
     wanted = sum((F.when(payload.contains(f'"{f}"'), 2).otherwise(0) for f in ("product_id", "price")),
                  F.lit(2 * len(C.REQUIRED_FIELDS)))
     return F.coalesce(
@@ -102,7 +103,8 @@ def unpack(payload: Column, v: Column, event: Column) -> list[Column]:
     long = [_apart(lambda _: big_integer("user_id"), unsure).alias(helper("user_id_long")),
             _apart(lambda _: big_integer("product_id"), unsure).alias(helper("product_id_long"))]
     shown = _apart(lambda p: number_text(json_kind(v, "price"), p), odd, price).alias(helper("price_text"))
-    return [payload.rlike(r"^\s*\{").alias(helper("is_object")), *kinds, *values, *long, shown]
+    is_object = F.col(helper("sound")) | payload.rlike(r"^\s*\{")
+    return [is_object.alias(helper("is_object")), *kinds, *values, *long, shown]
 
 
 def helper(name: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import retail_queries as Q
 from clickmill.operators import analytics, gold, governance, ingest, oplogs, silver
 from clickmill.schemas import columns
-from clickmill.sources import files, readers
+from clickmill.sources import files, readers, writers
 
 
 def plan(df, mode="formatted"):
@@ -83,6 +83,27 @@ def test_row_security_is_an_equality_join(spark, events):
     assert "Join" not in plan(governance.row_security(events, grants, "u", "ACCOUNTADMIN"))
 
 
+def small_events(spark, folder):
+    """One hundred events of a day; five are damaged, of which one is repaired."""
+    spark.range(100).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-14 23:30:00' + make_interval(0, 0, 0, 0, 0, id, 0) AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "10.5D AS value", """'{"k": 5}' AS props""").write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_records_are_checked_once_for_both_of_their_writes(spark, tmp_path, monkeypatch):
+    written, append = [], writers.append_ndjson
+
+    def noted(df, path, date_col):
+        written.append(plan(df))
+        append(df, path, date_col)
+
+    monkeypatch.setattr(writers, "append_ndjson", noted)
+    found = Q.recovered_to_gold(spark, small_events(spark, tmp_path))
+    assert found.filter("table_name = 'gold_daily_active_users'").agg(F.sum("first_count")).first()[0] == 96
+    assert len(written) == 3 and all("InMemoryTableScan" in text for text in written[:2])
+
+
 def test_a_filter_on_the_reason_does_not_repeat_the_checks(spark):
     checked = ingest.with_rejection_reason(X.retail_raw(spark, SF_DIR), X.NOW)
     rejected = checked.filter(F.col("rejection_reason").isNotNull()).select("src_id", "rejection_reason")
