@@ -9,10 +9,12 @@ import pytest
 from helpers import SF_DIR
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 import retail_queries as Q
 from clickmill.operators import analytics, gold, governance, ingest, oplogs, silver
 from clickmill.schemas import columns
 from clickmill.sources import files, readers, writers
+from clickmill.streaming import streams
 
 
 def plan(df, mode="formatted"):
@@ -104,6 +106,23 @@ def test_records_are_checked_once_for_both_of_their_writes(spark, tmp_path, monk
     assert len(written) == 3 and all("InMemoryTableScan" in text for text in written[:2])
 
 
+def test_sessions_are_merged_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    key, ran, run = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", [], streams.run_available
+    spark.conf.set(key, "false")  # as in a session that build_session has not made
+    monkeypatch.setattr(streams, "run_available", lambda *args: ran.append(run(*args)))
+    try:
+        entry.queries()["stream_alerts"](spark, small_events(spark, tmp_path))
+    finally:
+        spark.conf.set(key, "true")
+    assert len(ran) == 2
+    for query in ran:
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            query.explain()
+        sent = text.getvalue().split("SessionWindowStateStoreRestore", 1)[1].split("Exchange", 1)[1]
+        assert "MergingSessions" in sent
+
+
 def test_a_filter_on_the_reason_does_not_repeat_the_checks(spark):
     checked = ingest.with_rejection_reason(X.retail_raw(spark, SF_DIR), X.NOW)
     rejected = checked.filter(F.col("rejection_reason").isNotNull()).select("src_id", "rejection_reason")
