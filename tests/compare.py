@@ -29,6 +29,8 @@ def cell(v):
         return None if math.isnan(v) else float(f"{v:.10g}")
     if isinstance(v, dt.datetime):
         return v.isoformat()
+    if isinstance(v, list):
+        return tuple(map(cell, v))
     return v
 
 
